@@ -222,3 +222,101 @@ def validation_case() -> str:
         ),
     ]
     return "CASE " + " ".join(f"WHEN {c} THEN '{m}'" for c, m in rules) + " END"
+
+
+NARROW_START, NARROW_END = "2024-01-08 00:00:00", "2024-01-12 00:00:00"
+
+
+def _with(*named: str) -> str:
+    return "WITH " + ",\n".join(named) + "\n"
+
+
+def _session_products_cte(end: str = END, also_by: str = "", where: str = "") -> str:
+    rows = session_products(START, end, also_by)
+    if where:
+        rows = f"SELECT * FROM ({rows}) WHERE {where}"
+    return f"session_products AS ({rows})"
+
+
+def oracle_statements() -> dict[str, str]:
+    events = _with(CLICKSTREAM)
+    stored = _with(CLICKSTREAM, _session_products_cte())
+    traffic = events + daily_traffic()
+    funnel = stored + product_funnel()
+    abandonment = stored + cart_abandonment()
+    abandoned = f"{stored.rstrip()},\nabandonment AS ({cart_abandonment()})\n"
+    fewer = "product_id <> 'p3' AND event_date <> DATE '2024-01-10'"
+    with_error = (
+        events.rstrip()
+        + f",\nmarked AS (SELECT *, {validation_case()} AS validation_error FROM clickstream)\n"
+    )
+    valid = with_error + "SELECT * EXCLUDE (validation_error) FROM marked WHERE validation_error IS NULL"
+    narrow = _within("event_date", NARROW_START[:10], NARROW_END[:10], "DATE")
+    statements = {
+        "clickstream_events": events + "SELECT * FROM clickstream",
+        "events_in_interval": events
+        + f"SELECT * FROM clickstream WHERE {_within('event_time', START, END)}",
+        "cart_abandonment_daily_runs": _with(
+            CLICKSTREAM, _session_products_cte(also_by=", CAST(event_time AS DATE)")
+        )
+        + cart_abandonment(),
+        "subday_interval": stored
+        + "SELECT count(*) AS funnel_rows FROM ("
+        + product_funnel("2024-01-10 06:00:00", "2024-01-10 18:00:00")
+        + ")",
+        "merge_deletes": _with(CLICKSTREAM, _session_products_cte(where=fewer))
+        + cart_abandonment(),
+        "merge_null_keys": abandoned + "SELECT * FROM abandonment WHERE category IS NULL",
+        # Of a key stored twice, null in part, both rows go and one is inserted.
+        "merge_duplicates": abandoned
+        + "SELECT * FROM abandonment UNION ALL "
+        + "SELECT * FROM abandonment WHERE category IS NOT NULL",
+        "merge_outside_window": _with(
+            CLICKSTREAM,
+            _session_products_cte(),
+            f"everything AS ({cart_abandonment()})",
+        )
+        + f"""SELECT * FROM everything WHERE NOT ({narrow})
+              UNION ALL
+              SELECT * FROM ({cart_abandonment(NARROW_START, NARROW_END)})
+              WHERE product_id <> 'p3'""",
+        "validation_errors": with_error
+        + "SELECT event_id, validation_error AS message FROM marked "
+        + "WHERE validation_error IS NOT NULL",
+        "validation_error_counts": with_error
+        + "SELECT validation_error AS message, count(*) AS events FROM marked "
+        + "WHERE validation_error IS NOT NULL GROUP BY 1",
+        "stream_rejects": with_error + "SELECT * FROM marked WHERE validation_error IS NOT NULL",
+    }
+    same_as = {
+        traffic: ("daily_traffic", "daily_traffic_sql"),
+        f"{traffic} UNION ALL {daily_traffic()}": ("append_twice", "append_twice_sql"),
+        events + sessions(): ("sessions", "sessions_sql", "sessions_job", "sessions_job_sql"),
+        events + session_products(): (
+            "session_products",
+            "session_products_sql",
+            "session_products_job",
+            "session_products_job_sql",
+        ),
+        funnel: (
+            "product_funnel",
+            "product_funnel_sql",
+            "product_funnel_job",
+            "product_funnel_job_sql",
+        ),
+        abandonment: (
+            "cart_abandonment",
+            "cart_abandonment_sql",
+            "cart_abandonment_job",
+            "cart_abandonment_job_sql",
+            "merge_job",
+            "merge_job_sql",
+            "merge_rerun",
+            "merge_late_events",
+        ),
+        events + "SELECT * FROM clickstream": ("json_decode", "compact_rows"),
+        valid: ("stream_ingest", "stream_restart", "stream_accepted"),
+    }
+    for statement, names in same_as.items():
+        statements.update(dict.fromkeys(names, statement))
+    return statements
