@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import sys
+import uuid
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from trailmart.functions.intervals import Interval  # noqa: E402
+from trailmart.schema import EVENT_SCHEMA  # noqa: E402
+from trailmart.session import fresh_path  # noqa: E402
+from trailmart.sources.tables import create_tables  # noqa: E402
+
+SMALL_TABLES = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("spark")
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("trailmart-tests")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
+        .config("spark.checkpoint.dir", str(folder / "shared"))
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def schema(spark):
+    """A schema with every table, empty."""
+    name = f"test_{uuid.uuid4().hex}"
+    create_tables(spark, name, fresh_path(spark, "schema"))
+    return name
+
+
+@pytest.fixture
+def interval(spark):
+    return lambda start, end: Interval.between(spark, start, end)
+
+
+VALID = {
+    "event_id": "e1",
+    "event_time": "2024-01-05 10:00:00",
+    "user_id": "u1",
+    "session_id": "s1",
+    "event_type": "page_view",
+    "page_url": "/",
+    "device_type": "desktop",
+    "browser": "firefox",
+    "traffic_source": "direct",
+}
+PRODUCT = {"product_id": "p1", "product_name": "ring", "category": "SMALL", "price": "2.50"}
+CART = {**PRODUCT, "cart_id": "c1", "quantity": 2}
+
+
+def event(event_type: str | None = "page_view", **fields) -> dict:
+    """A valid event of the type, with the given fields changed."""
+    extra = {
+        "search": {"search_query": "ring"},
+        "product_view": PRODUCT,
+        "purchase": {**CART, "order_id": "o1"},
+    }.get(event_type, CART if event_type and ("cart" in event_type or "check" in event_type) else {})
+    return {**VALID, **extra, "event_type": event_type, **fields}
+
+
+@pytest.fixture(scope="session")
+def events_of(spark):
+    """Typed events from dicts of text values."""
+
+    def build(*rows: dict):
+        names = EVENT_SCHEMA.names
+        text = [tuple(None if r.get(n) is None else str(r[n]) for n in names) for r in rows]
+        df = spark.createDataFrame(text, ", ".join(f"{n} STRING" for n in names))
+        return df.select(*[df[f.name].cast(f.dataType) for f in EVENT_SCHEMA])
+
+    return build
+
+
+def rows_of(df, *columns) -> list[tuple]:
+    """Rows as a sorted list of tuples."""
+    selected = df.select(*columns) if columns else df
+    return sorted((tuple(row) for row in selected.collect()), key=repr)

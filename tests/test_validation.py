@@ -1,0 +1,74 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import event
+from trailmart.functions.validation import raise_if_invalid, validation_error
+from trailmart.schema import EVENT_TYPES, PRODUCT_EVENT_TYPES
+
+# One event per rule that breaks only that rule, in the order of the rules.
+BROKEN = [
+    ("event_id is required", event(event_id=None)),
+    ("user_id is required", event(user_id="")),
+    ("session_id is required", event(session_id="  ")),
+    ("event_type is required", event(None)),
+    ("page_url is required", event(page_url=None)),
+    ("event_time is required", event(event_time=None)),
+    ("device_type is required", event(device_type=None)),
+    ("browser is required", event(browser="")),
+    ("traffic_source is required", event(traffic_source=" ")),
+    ("event_type is not supported", event("login")),
+    ("search_query is required for search events", event("search", search_query="  ")),
+    ("product_id is required for product events", event("product_view", product_id=None)),
+    ("product_name is required for product events", event("purchase", product_name="")),
+    ("category is required for product events", event("add_to_cart", category=None)),
+    ("price must be nonnegative for product events", event("product_view", price="-0.01")),
+    ("cart_id is required for cart events", event("remove_from_cart", cart_id=None)),
+    ("quantity must be positive for cart events", event("checkout_start", quantity=0)),
+    ("order_id is required for purchase events", event("purchase", order_id=None)),
+]
+
+
+def messages(df):
+    return [row[0] for row in df.select(validation_error()).collect()]
+
+
+def test_every_rule_has_its_message(events_of):
+    assert messages(events_of(*[row for _, row in BROKEN])) == [text for text, _ in BROKEN]
+
+
+def test_the_first_broken_rule_is_reported(events_of):
+    names = ["event_id", "user_id", "session_id", "page_url", "event_time", "device_type"]
+    names += ["browser", "traffic_source", "product_id", "product_name", "category"]
+    names += ["price", "cart_id", "quantity", "order_id"]
+    # From the last rule to the first: breaking an earlier one as well changes the message.
+    broken, expected = {}, []
+    rows = []
+    for name in reversed(names):
+        broken[name] = None
+        rows.append(event("purchase", **broken))
+        expected.append(name)
+    found = messages(events_of(*rows))
+    assert [text.split()[0] for text in found] == expected
+
+
+def test_valid_events_of_every_type(events_of):
+    assert messages(events_of(*map(event, EVENT_TYPES))) == [None] * 7
+    assert messages(events_of(*[event(t, price="0.00") for t in PRODUCT_EVENT_TYPES])) == [None] * 5
+
+
+def test_missing_price_and_quantity(events_of):
+    rows = [event("product_view", price=None), event("purchase", quantity=None)]
+    assert [text.split()[0] for text in messages(events_of(*rows))] == ["price", "quantity"]
+    assert messages(events_of(event("purchase", quantity=-1)))[0].startswith("quantity")
+
+
+@pytest.mark.parametrize("text, blank", [(None, True), ("", True), ("   ", True), ("\t", False)])
+def test_blank_means_null_or_spaces(events_of, text, blank):
+    assert (messages(events_of(event(user_id=text))) == [None]) is not blank
+
+
+def test_raising_names_the_rule(events_of):
+    event_id = raise_if_invalid(validation_error(), F.col("event_id"))
+    assert events_of(event()).select(event_id).first()[0] == "e1"
+    with pytest.raises(Exception, match="Invalid clickstream event: page_url is required"):
+        events_of(event(page_url="")).select(event_id).collect()

@@ -49,11 +49,10 @@ class Interval:
     def has_time(self, column: str = "event_time") -> Column:
         return (F.col(column) >= self.start_time) & (F.col(column) < self.end_time)
 
-    def has_date(self, column: str = "event_date") -> Column:
+    def has_date(self, column: str | Column = "event_date") -> Column:
         """Both bounds are cut to dates, so a partial last day is left out."""
-        return (F.col(column) >= self.start_time.cast("date")) & (
-            F.col(column) < self.end_time.cast("date")
-        )
+        day = F.col(column) if isinstance(column, str) else column
+        return (day >= self.start_time.cast("date")) & (day < self.end_time.cast("date"))
 
     def may_hold_day(self, column: str = "event_date") -> Column:
         """Days that can hold an event time of the interval, for partition pruning."""

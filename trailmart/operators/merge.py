@@ -28,10 +28,13 @@ def merged_rows(
 
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored keys that more than one source row would update."""
-    several = (
-        source.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows")
-    )
-    return several.join(target.select(*keys).distinct(), list(keys), "left_semi")
+    return repeated_keys(source, keys).join(target.select(*keys).distinct(), list(keys), "left_semi")
+
+
+def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of several source rows; null keys are left out, they update nothing."""
+    rows = source.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.filter("rows > 1").drop("rows")
 
 
 def _repeated(df: DataFrame, copies: Column) -> DataFrame:

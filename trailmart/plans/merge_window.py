@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmart.functions.intervals import Interval
-from trailmart.operators.merge import ambiguous_keys, merged_rows
+from trailmart.operators.merge import ambiguous_keys, merged_rows, repeated_keys
 from trailmart.schema import TableLayout
 from trailmart.session import fresh_path
 from trailmart.sources.tables import (
@@ -41,13 +41,17 @@ def merge_window(
         raise ValueError(f"Source rows lie outside [{interval.start}, {interval.end})")
 
     target = spark.table(name).filter(interval.has_date(day)).select(*keys, *measures)
-    if not ambiguous_keys(target, result, keys).isEmpty():
+    if not (
+        repeated_keys(result, keys).isEmpty() or ambiguous_keys(target, result, keys).isEmpty()
+    ):
         raise ValueError(f"Several source rows match one row of {name}")
     merged = merged_rows(target, result, keys, measures)
     overwrite_partitions(together(merged, [day]), name)
 
     # Days, never rows, reach the driver.
-    stored_days = partitions(spark, name, layout).filter(interval.has_date(day))
+    stored_days = partitions(spark, name, layout).filter(
+        interval.has_date(F.col(day).try_cast("date"))
+    )
     kept_days = result.select(F.col(day).cast("string")).distinct()
     emptied = stored_days.join(kept_days, day, "left_anti").collect()
     drop_partitions(spark, name, [row.asDict() for row in emptied])

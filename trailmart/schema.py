@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+
+def _fields(ddl: str) -> list[tuple[str, str]]:
+    """(name, type) of each column of a plain column list."""
+    return re.findall(r"(\w+) (\w+(?:\(\d+,\d+\))?)", ddl)
+
+
 # The event vocabulary of the clickstream.
 EVENT_TYPES = (
     "page_view",
@@ -27,7 +34,15 @@ EVENT_DDL = """
     order_id STRING, quantity INT, price DECIMAL(10,2), device_type STRING,
     browser STRING, traffic_source STRING
 """
-EVENT_SCHEMA = T.StructType.fromDDL(EVENT_DDL)
+COLUMN_TYPES = {
+    "STRING": T.StringType(),
+    "TIMESTAMP": T.TimestampType(),
+    "INT": T.IntegerType(),
+    "DECIMAL(10,2)": T.DecimalType(10, 2),
+}
+EVENT_SCHEMA = T.StructType(
+    [T.StructField(name, COLUMN_TYPES[kind]) for name, kind in _fields(EVENT_DDL)]
+)
 EVENT_COLUMNS = tuple(EVENT_SCHEMA.names)
 
 # A stored event carries its arrival time right after the event time.
@@ -57,7 +72,7 @@ class TableLayout:
 
     @property
     def columns(self) -> tuple[str, ...]:
-        return tuple(T.StructType.fromDDL(self.ddl).names)
+        return tuple(name for name, _ in _fields(self.ddl))
 
 
 def _counts(event_types) -> str:

@@ -17,18 +17,24 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def named_folder(spark: SparkSession) -> str:
+    """The shared folder as the cluster names it, empty where it names none."""
+    return (spark.conf.get(CHECKPOINT_DIR, None) or "").strip().rstrip("/")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it in ``spark.checkpoint.dir``.
+    """The folder all executors see: ``spark.checkpoint.dir``, or what was set later.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a local session without either gets a folder of its own.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if not folder or not folder.strip():
-        if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = named_folder(spark) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
             raise ValueError(f"Required Spark configuration {CHECKPOINT_DIR} is not set")
-        folder = tempfile.mkdtemp(prefix="trailmart-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder.strip().rstrip("/")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="trailmart-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, purpose: str) -> str:
