@@ -27,6 +27,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .config("spark.checkpoint.dir", str(folder / "shared"))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

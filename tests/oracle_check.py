@@ -69,6 +69,7 @@ if __name__ == "__main__":
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

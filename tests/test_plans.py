@@ -79,9 +79,11 @@ def test_reports_read_their_days_only(stored, interval):
 def eager_splitting(spark):
     """Thresholds so low that the skew of a test fixture shows."""
     settings = {
+        "spark.sql.shuffle.partitions": "32",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }

@@ -24,7 +24,7 @@ class Interval:
         """
         interval = cls(str(start), str(end))
         reversed_bounds = spark.sql(
-            "SELECT CAST(:start AS TIMESTAMP) > CAST(:end AS TIMESTAMP)",
+            "SELECT CAST(:start AS TIMESTAMP) > CAST(:end AS TIMESTAMP) FROM VALUES (0)",
             args={"start": interval.start, "end": interval.end},
         ).first()[0]
         if reversed_bounds is None:

@@ -10,45 +10,39 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def is_type(event_type: str) -> Column:
-    return F.col("event_type") == event_type
-
-
 def count_of(event_type: str) -> Column:
     """Events of one type; a null type counts for none."""
-    return F.count_if(is_type(event_type))
+    return F.expr(f"count_if(event_type = '{event_type}')")
 
 
 def has_any(event_type: str) -> Column:
-    return count_of(event_type) > 0
+    return F.expr(f"count_if(event_type = '{event_type}') > 0")
 
 
 def first_day() -> Column:
     """The UTC date of the group's first event."""
-    return F.min("event_time").cast("date")
+    return F.expr("CAST(min(event_time) AS DATE)")
 
 
 def first_time_of(event_type: str) -> Column:
-    return F.min(F.when(is_type(event_type), F.col("event_time")))
+    return F.expr(f"min(IF(event_type = '{event_type}', event_time, NULL))")
 
 
 def quantity_of(event_type: str) -> Column:
-    total = F.sum(F.when(is_type(event_type), F.col("quantity")))
-    return F.coalesce(total, F.lit(0).cast("bigint"))
+    return F.expr(f"coalesce(sum(IF(event_type = '{event_type}', quantity, NULL)), 0L)")
 
 
 def revenue_of(event_type: str) -> Column:
     """Quantity times price; an event without one of them earns nothing."""
-    total = F.sum(F.when(is_type(event_type), F.col("quantity") * F.col("price")))
-    return F.coalesce(total, F.lit(0)).cast("decimal(12,2)")
+    paid = f"sum(IF(event_type = '{event_type}', quantity * price, NULL))"
+    return F.expr(f"CAST(coalesce({paid}, 0) AS DECIMAL(12,2))")
 
 
 def count_where(flag: str) -> Column:
     """Rows whose flag is true; a null flag counts neither as true nor as false."""
-    return F.count_if(F.col(flag))
+    return F.expr(f"count_if({flag})")
 
 
 def rate(part: str, whole: str) -> Column:
     """``part / whole`` to four places, 0 for an empty whole."""
-    quotient = F.try_divide(F.col(part), F.col(whole))
-    return F.coalesce(quotient, F.lit(0.0)).cast("decimal(9,4)")
+    return F.expr(f"CAST(coalesce(try_divide({part}, {whole}), 0) AS DECIMAL(9,4))")

@@ -43,6 +43,5 @@ def fresh_path(spark: SparkSession, purpose: str) -> str:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows."""
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    """Hint a broadcast only after seeing that ``df`` has at most ``max_rows`` rows."""
+    return F.broadcast(df) if len(df.take(max_rows + 1)) <= max_rows else df

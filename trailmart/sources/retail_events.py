@@ -1,17 +1,16 @@
 """Retail clickstream events derived from the ``events`` and ``part`` tables.
 
-The same projection exists as SQL in ``trailmart.registry.oracles``; the constants
-below are fixed values of that mapping.
+The same projection exists as SQL for the checks in ``trailmart.registry.oracles``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from trailmart.schema import CART_EVENT_TYPES, EVENT_COLUMNS, EVENT_SCHEMA
+from trailmart.schema import CART_EVENT_TYPES
 from trailmart.session import broadcast_if_small, use_utc
 
+# Fixed values of the mapping.
 HALF_DAY = 43_200
 THREE_DAYS = 259_200
 FIRST_PRODUCT, LAST_PRODUCT = 1, 12
@@ -19,84 +18,81 @@ DEVICES = ("desktop", "mobile", "tablet")
 BROWSERS = ("chrome", "safari", "firefox", "edge")
 TRAFFIC_SOURCES = ("direct", "search", "email", "social", "ads")
 
+EVENTS_DDL = """
+    event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,
+    props STRING
+"""
+PART_DDL = "p_partkey BIGINT, p_name STRING, p_type STRING"
+
+RAW = {
+    "event_number": "event_id",
+    "user": "user_id",
+    "event_time": "CAST(ts AS TIMESTAMP)",
+    "source_type": "event_type",
+    "value": "value",
+    "k": r"CAST(regexp_extract(props, r'(\d+)', 1) AS INT)",
+}
+EVENT_TYPE = """
+    CASE source_type
+      WHEN 'view' THEN IF(k % 2 = 0, 'page_view', 'product_view')
+      WHEN 'click' THEN IF(k % 3 = 0, 'remove_from_cart', 'add_to_cart')
+      WHEN 'signup' THEN 'checkout_start'
+      WHEN 'purchase' THEN 'purchase'
+      ELSE IF(k % 2 = 0, 'search', 'product_view')
+    END
+"""
+IS_PRODUCT = "event_type NOT IN ('page_view', 'search')"
+IS_CART = f"event_type IN {CART_EVENT_TYPES}"
+
+
+def _pick(choices: tuple[str, ...]) -> str:
+    return f"element_at(array{choices}, k % {len(choices)} + 1)"
+
+
+FIELDS = {
+    "event_id": "concat('e', event_number)",
+    "event_time": "event_time",
+    "user_id": "concat('u', user)",
+    "session_id": "concat('s', visit)",
+    "event_type": "event_type",
+    "page_url": "concat('/page/', k)",
+    "referrer_url": "IF(k % 4 = 0, NULL, concat('/page/', k - 1))",
+    "search_query": "IF(event_type = 'search', IF(k % 10 = 0, '  ', concat('q', k)), NULL)",
+    "product_id": f"IF({IS_PRODUCT}, concat('p', product_key), NULL)",
+    "product_name": f"IF({IS_PRODUCT}, p_name, NULL)",
+    "category": f"IF({IS_PRODUCT} AND product_key % 7 != 0, p_type, NULL)",
+    "cart_id": f"IF({IS_CART}, concat('c', visit), NULL)",
+    "order_id": "IF(event_type = 'purchase' AND k % 17 != 0, concat('o', event_number), NULL)",
+    "quantity": f"IF({IS_CART} AND k % 11 != 0, 1 + k % 5, NULL)",
+    "price": f"IF({IS_PRODUCT} AND k % 13 != 0, CAST(value AS DECIMAL(10,2)), NULL)",
+    "device_type": _pick(DEVICES),
+    "browser": _pick(BROWSERS),
+    "traffic_source": _pick(TRAFFIC_SOURCES),
+}
+
 
 def clickstream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 18 columns of an event, in their declared order and types."""
     use_utc(spark)
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id",
-        F.col("ts").cast("timestamp").alias("event_time"),
-        "user_id",
-        F.col("event_type").alias("source_type"),
-        "value",
-        F.regexp_extract("props", r"(\d+)", 1).cast("int").alias("k"),
-    )
-    products = _named_products(spark, sf_dir)
-    keyed = raw.withColumn(
-        "product_key", F.col("user_id") % 4 * 3 + F.col("event_id") % 3 + FIRST_PRODUCT
-    ).withColumn("event_type", _retail_type())
-    joined = keyed.join(products, keyed.product_key == products.p_partkey, "left")
-    return joined.select(*_event_columns()).select(
-        *[F.col(f.name).cast(f.dataType) for f in EVENT_SCHEMA]
+    stored = spark.read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
+    raw = stored.selectExpr(*_named(RAW))
+    keyed = raw.selectExpr(
+        "*",
+        f"{EVENT_TYPE} AS event_type",
+        f"user % 4 * 3 + event_number % 3 + {FIRST_PRODUCT} AS p_partkey",
+        f"concat(user, '-', floor((unix_timestamp(event_time) - {HALF_DAY}) / {THREE_DAYS}))"
+        " AS visit",
     )
+    joined = keyed.join(_named_products(spark, sf_dir), "p_partkey", "left")
+    return joined.withColumnRenamed("p_partkey", "product_key").selectExpr(*_named(FIELDS))
 
 
-def _named_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parts an event can name: product keys run from 1 to 12 by construction."""
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
-    named = parts.filter(F.col("p_partkey").between(FIRST_PRODUCT, LAST_PRODUCT))
-    return broadcast_if_small(named.select("p_partkey", "p_name", "p_type"), max_rows=1000)
-
-
-def _retail_type() -> Column:
-    even = F.col("k") % 2 == 0
-    source = F.col("source_type")
-    return (
-        F.when(source == "view", F.when(even, "page_view").otherwise("product_view"))
-        .when(
-            source == "click",
-            F.when(F.col("k") % 3 == 0, "remove_from_cart").otherwise("add_to_cart"),
-        )
-        .when(source == "signup", "checkout_start")
-        .when(source == "purchase", "purchase")
-        .otherwise(F.when(even, "search").otherwise("product_view"))
-    )
+def _named(expressions: dict[str, str]) -> list[str]:
+    return [f"{expression} AS {name}" for name, expression in expressions.items()]
 
 
-def _event_columns() -> list[Column]:
-    k = F.col("k")
-    user = F.col("user_id")
-    seconds = F.unix_timestamp("event_time")
-    bucket = F.floor((seconds - HALF_DAY) / THREE_DAYS)
-    visit = F.concat(user, F.lit("-"), bucket)
-    product = ~F.col("event_type").isin("page_view", "search")
-    cart = F.col("event_type").isin(*CART_EVENT_TYPES)
-    blank_or_query = F.when(k % 10 == 0, "  ").otherwise(F.concat(F.lit("q"), k))
-    values = {
-        "event_id": F.concat(F.lit("e"), "event_id"),
-        "event_time": F.col("event_time"),
-        "user_id": F.concat(F.lit("u"), user),
-        "session_id": F.concat(F.lit("s"), visit),
-        "event_type": F.col("event_type"),
-        "page_url": F.concat(F.lit("/page/"), k),
-        "referrer_url": F.when(k % 4 != 0, F.concat(F.lit("/page/"), k - 1)),
-        "search_query": F.when(F.col("event_type") == "search", blank_or_query),
-        "product_id": F.when(product, F.concat(F.lit("p"), "product_key")),
-        "product_name": F.when(product, F.col("p_name")),
-        "category": F.when(product & (F.col("product_key") % 7 != 0), F.col("p_type")),
-        "cart_id": F.when(cart, F.concat(F.lit("c"), visit)),
-        "order_id": F.when(
-            (F.col("event_type") == "purchase") & (k % 17 != 0),
-            F.concat(F.lit("o"), "event_id"),
-        ),
-        "quantity": F.when(cart & (k % 11 != 0), k % 5 + 1),
-        "price": F.when(product & (k % 13 != 0), F.col("value").cast("decimal(10,2)")),
-        "device_type": _pick(k, DEVICES),
-        "browser": _pick(k, BROWSERS),
-        "traffic_source": _pick(k, TRAFFIC_SOURCES),
-    }
-    return [values[name].alias(name) for name in EVENT_COLUMNS]
-
-
-def _pick(number: Column, choices) -> Column:
-    return F.element_at(F.array(*map(F.lit, choices)), (number % len(choices) + 1).cast("int"))
+def _named_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts an event can name: product keys run from 1 to 12 by construction."""
+    parts = spark.read.schema(PART_DDL).parquet(f"{sf_dir}/part.parquet")
+    named = parts.filter(f"p_partkey BETWEEN {FIRST_PRODUCT} AND {LAST_PRODUCT}")
+    return broadcast_if_small(named, max_rows=1000)
