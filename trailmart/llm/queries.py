@@ -7,12 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trailmart.llm import byte_bpe
+from trailmart.llm import byte_bpe, token_counts
 from trailmart.llm.common import table
 
+WORD_BPE, TOKEN_LIMIT = "word_bpe_49k.json", 2_048
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.with_token_counts(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path(WORD_BPE),
+        TOKEN_LIMIT,
+        keys=["doc_id"],
+    )
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(
         table(spark, sf_dir, "documents"),
@@ -22,6 +32,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_counts": op3_token_counts,
     "op6_byte_bpe": op6_byte_bpe,
 }
 ORACLES: dict[str, str] = {}
