@@ -30,9 +30,9 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from trailmart.llm.common import buffered, ready
 
 #: Texts encoded by one query, in bytes, and words a worker remembers.
-BUFFER_BYTES = 12 << 20
+BUFFER_BYTES = 6 << 20
 REMEMBERED = 500_000
-DUCKDB_MEMORY = "256MB"
+DUCKDB_MEMORY = "200MB"
 HASH_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 #: White space as the tiktoken library's pattern engine has it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -272,6 +272,30 @@ def decode(df: DataFrame, keys: list[str], vocabulary: str, pattern: str) -> Dat
     return _through(df, keys, F.col("ids"), run, added)
 
 
+def round_trip(
+    df: DataFrame, keys: list[str], vocabulary: str, pattern: str, text: str = "text"
+) -> DataFrame:
+    """(*keys, ids, n_tokens, decoded): both ways in one worker, which holds one vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(vocabulary, pattern)
+        for rows in buffered(batches, "text", BUFFER_BYTES):
+            ids = codec.encode(rows["text"].to_pylist())
+            done = rows.drop_columns(["text"])
+            done = done.append_column("ids", pa.array(ids, pa.binary()))
+            lengths = pa.array([len(blob) // 4 for blob in ids], pa.int64())
+            done = done.append_column("n_tokens", lengths)
+            done = done.append_column("decoded", pa.array(codec.decode(ids), pa.binary()))
+            yield from done.to_batches()
+
+    added = [
+        StructField("ids", BinaryType()),
+        StructField("n_tokens", LongType()),
+        StructField("decoded", BinaryType()),
+    ]
+    return _through(df, keys, F.coalesce(F.col(text), F.lit("")).alias("text"), run, added)
+
+
 def _through(df: DataFrame, keys: list[str], sent, run: Callable, added: list[StructField]):
     ready(df.sparkSession)
     fields = [df.schema[name] for name in keys]
@@ -280,9 +304,7 @@ def _through(df: DataFrame, keys: list[str], sent, run: Callable, added: list[St
 
 def round_trip_digests(df: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """Per document: its number of tokens and the digests of its ids and of their decoding."""
-    coded = encode(df, ["doc_id"], vocabulary, pattern)
-    decoded = decode(coded, ["doc_id", "n_tokens"], vocabulary, pattern)
-    return decoded.select(
+    return round_trip(df, ["doc_id"], vocabulary, pattern).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
