@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trailmart.llm import byte_bpe, token_counts
+from trailmart.llm import byte_bpe, simhash, token_counts
 from trailmart.llm.common import table
 
 WORD_BPE, TOKEN_LIMIT = "word_bpe_49k.json", 2_048
@@ -31,8 +31,16 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return marked.select(
+        "doc_id", simhash.fingerprint_text("fp").alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_simhash": op8_simhash,
 }
 ORACLES: dict[str, str] = {}
