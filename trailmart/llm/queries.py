@@ -7,13 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trailmart.llm import byte_bpe, simhash, token_counts
+from trailmart.llm import byte_bpe, quality_classifier, simhash, token_counts
 from trailmart.llm.common import table
 
 WORD_BPE, TOKEN_LIMIT = "word_bpe_49k.json", 2_048
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.scored(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_token_counts(
         table(spark, sf_dir, "documents"),
@@ -39,6 +45,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_token_counts": op3_token_counts,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_simhash": op8_simhash,
