@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trailmart.llm import byte_bpe, quality_classifier, simhash, token_counts
+from trailmart.llm import byte_bpe, quality_classifier, simhash, token_counts, toxicity
 from trailmart.llm.common import table
 
 WORD_BPE, TOKEN_LIMIT = "word_bpe_49k.json", 2_048
@@ -29,6 +29,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(
         table(spark, sf_dir, "documents"),
@@ -47,6 +51,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_simhash": op8_simhash,
 }
