@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trailmart.llm import byte_bpe, quality_classifier, simhash, token_counts, toxicity
+from trailmart.llm import (
+    byte_bpe,
+    line_quality,
+    quality_classifier,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from trailmart.llm.common import table
 
 WORD_BPE, TOKEN_LIMIT = "word_bpe_49k.json", 2_048
@@ -48,11 +55,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_simhash": op8_simhash,
+    "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {}
