@@ -149,7 +149,7 @@ class Codec:
         of_word = np.repeat(np.arange(len(words)), lengths)
         letters = self.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
         rows = self._run(
-            ENCODE, positions={"k": of_word << 32 | _places(lengths), "token": letters}
+            ENCODE, positions={"k": of_word << 32 | places_in_runs(lengths), "token": letters}
         )
         counts = np.bincount(rows["word"].to_numpy(), minlength=len(words))
         return rows["token"].to_numpy().astype(np.uint32), np.cumsum(counts)
@@ -172,7 +172,7 @@ class Codec:
             DECODE,
             tokens={
                 "stretch": np.repeat(np.arange(len(first)), lengths),
-                "position": _places(lengths),
+                "position": places_in_runs(lengths),
                 "token": _gather(ids, starts[first], starts[first] + lengths),
             },
         )
@@ -202,7 +202,7 @@ def _starts(ends: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], ends[:-1])).astype(np.int64)
 
 
-def _places(lengths: np.ndarray) -> np.ndarray:
+def places_in_runs(lengths: np.ndarray) -> np.ndarray:
     """0, 1, ... within each of the runs that lie one after the other."""
     return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
@@ -218,7 +218,7 @@ def _distinct(
     lengths = ends - starts
     if not len(starts):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    places = _places(lengths)
+    places = places_in_runs(lengths)
     powers = np.cumprod(np.full(int(lengths.max()), HASH_FACTOR))
     mixed = (values.astype(np.uint64) + np.uint64(1)) * powers[places]
     mixed = np.add.reduceat(mixed ^ (mixed >> np.uint64(29)), starts)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trailmart.llm import (
     byte_bpe,
+    contamination,
     line_quality,
     quality_classifier,
     simhash,
@@ -40,6 +41,21 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    names = "array_join(array_sort(transform(items, i -> CAST(i AS STRING))), ',')"
+    return found.selectExpr(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "CAST(size(items) AS BIGINT) AS n_items",
+        f"sha2({names}, 256) AS items_sha256",
+        "contaminated",
+    )
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(
         table(spark, sf_dir, "documents"),
@@ -63,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
+    "op5_contamination": op5_contamination,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_simhash": op8_simhash,
     "op10_quality_rules": op10_quality_rules,
