@@ -10,16 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from trailmart.llm import (
     byte_bpe,
     contamination,
+    license_scan,
     line_quality,
     quality_classifier,
     simhash,
     token_counts,
     toxicity,
+    url_reputation,
     warc,
 )
 from trailmart.llm.common import table
 
 WORD_BPE, TOKEN_LIMIT = "word_bpe_49k.json", 2_048
+URL_RULES = (
+    url_reputation.Rule("block", "net", "/"),
+    url_reputation.Rule("allow", "example.net", "/en/"),
+    url_reputation.Rule("block", "example.com", "/de/"),
+    url_reputation.Rule("allow", "org", "/fr/"),
+)
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -80,6 +88,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_reputation.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.scanned(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_warc": op2_warc,
@@ -87,7 +103,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_contamination": op5_contamination,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_url_reputation": op7_url_reputation,
     "op8_simhash": op8_simhash,
+    "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_url_reputation": url_reputation.oracle(URL_RULES),
+    "op9_license_scan": license_scan.oracle(),
+}
