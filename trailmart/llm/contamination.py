@@ -76,7 +76,7 @@ class Phrases:
 def phrase_blocks(items: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Phrases]:
     """The test items in blocks; one block at a time is in the driver."""
     block = Phrases()
-    for row in items.select("item_id", "text").toLocalIterator():
+    for row in items.selectExpr("CAST(item_id AS BIGINT) AS item_id", "text").toLocalIterator():
         block.add(row["item_id"], words_of(row["text"]))
         if block.size >= block_words:
             yield block
@@ -87,6 +87,7 @@ def phrase_blocks(items: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[
 def build_index(documents: DataFrame) -> DataFrame:
     """Shards of postings over (doc_id, text) rows, stored."""
     ready(documents.sparkSession)
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = _Shard()
@@ -99,7 +100,7 @@ def build_index(documents: DataFrame) -> DataFrame:
         if shard.doc_ids:
             yield shard.row()
 
-    return stored(documents.select("doc_id", "text").mapInArrow(shards, INDEX), "postings")
+    return stored(rows.mapInArrow(shards, INDEX), "postings")
 
 
 class _Shard:
@@ -297,3 +298,15 @@ def _summed(index: DataFrame, found: DataFrame) -> DataFrame:
         F.col("n_hit") * 100 >= F.col("n_words") * CONTAMINATED_PERCENT
     )
     return rows.withColumn("contaminated", bad)
+
+
+def clean(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents that are not contaminated, with their own columns.
+
+    A row is named by the hash of its id and text; no column may have this name.
+    """
+    name = "_contamination_row"
+    named = documents.withColumn(name, F.xxhash64("doc_id", "text"))
+    judged = contamination(named.select(F.col(name).alias("doc_id"), "text"), items)
+    bad = judged.filter("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    return named.join(bad, name, "left_anti").drop(name)

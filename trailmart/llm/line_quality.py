@@ -251,7 +251,7 @@ def judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return documents.select("doc_id", rules("text").alias("rules")).select("doc_id", "rules.*")
 
 
-def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def accepted(documents: DataFrame, chain: Chain) -> DataFrame:
     """The documents that are kept, with their own columns."""
-    rules = judged_by(learn(documents, labels))
-    return documents.filter(rules("text")["kept"])
+    ready(documents.sparkSession)
+    return documents.filter(judged_by(chain)("text")["kept"])

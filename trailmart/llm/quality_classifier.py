@@ -198,7 +198,7 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def accepted(documents: DataFrame, forest: Forest) -> DataFrame:
     """The documents that are predicted to be good, with their own columns."""
-    score = scorer(learn(documents, labels))
-    return documents.filter(score("text") >= THRESHOLD)
+    ready(documents.sparkSession)
+    return documents.filter(scorer(forest)("text") >= THRESHOLD)
