@@ -32,6 +32,8 @@ from trailmart.llm.common import buffered, ready
 #: Texts encoded by one query, in bytes, and words a worker remembers.
 BUFFER_BYTES = 6 << 20
 REMEMBERED = 500_000
+#: Bytes of a word from which pairs of equal rank are contracted together.
+LONG_WORD = 64
 DUCKDB_MEMORY = "200MB"
 HASH_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 #: White space as the tiktoken library's pattern engine has it.
@@ -63,6 +65,45 @@ WITH RECURSIVE piece(k, token, live) AS (
 )
 SELECT k >> 32 AS word, token FROM piece WHERE NOT live ORDER BY k
 """
+#: The same for long words, in fewer rounds: all pairs of a word's least rank are contracted
+#: at once, every other one where they overlap. Where that could make a pair of a still lower
+#: rank, which would have to come first, only the leftmost pair of the word is contracted.
+ENCODE_LONG = """
+WITH RECURSIVE piece(k, token, live) AS (
+    SELECT k, token, true FROM positions
+  UNION ALL
+    (WITH paired AS (
+        SELECT k, token, row_number() OVER o AS place, lag(token) OVER o AS before,
+               lead(token) OVER o AS following, lead(k) OVER o AS following_k,
+               lead(token, 2) OVER o AS after
+        FROM piece WHERE live WINDOW o AS (ORDER BY k)
+     ), ranked AS (
+        SELECT paired.*, merged, min(merged) OVER (PARTITION BY paired.k >> 32) AS least
+        FROM paired JOIN merges ON pair = (token << 32 | following)
+        WHERE following_k >> 32 = paired.k >> 32
+     ), hits AS (
+        SELECT *, place - row_number() OVER (ORDER BY k) AS island
+        FROM ranked WHERE merged = least
+     ), numbered AS (
+        SELECT hits.k, following_k, hits.merged,
+               row_number() OVER (PARTITION BY island ORDER BY hits.k) AS nth,
+               hits.k = min(hits.k) OVER word AS leftmost,
+               min(least(l.merged, r.merged, b.merged)) OVER word AS next_rank
+        FROM hits
+        LEFT JOIN merges l ON l.pair = (before << 32 | hits.merged)
+        LEFT JOIN merges r ON r.pair = (hits.merged << 32 | after)
+        LEFT JOIN merges b ON b.pair = (hits.merged << 32 | hits.merged)
+        WINDOW word AS (PARTITION BY hits.k >> 32)
+     ), chosen AS (
+        SELECT k AS chosen_k, following_k, merged FROM numbered
+        WHERE CASE WHEN next_rank < merged THEN leftmost ELSE nth % 2 = 1 END
+     )
+     SELECT k, coalesce(merged, token), k >> 32 IN (SELECT chosen_k >> 32 FROM chosen)
+     FROM piece LEFT JOIN chosen ON chosen_k = k
+     WHERE live AND k NOT IN (SELECT following_k FROM chosen))
+)
+SELECT k >> 32 AS word, token FROM piece WHERE NOT live ORDER BY k
+"""
 DECODE = """
 SELECT stretch, unhex(string_agg(token_hex, '' ORDER BY position)) AS bytes
 FROM tokens JOIN vocabulary USING (token) GROUP BY stretch ORDER BY stretch
@@ -100,7 +141,7 @@ class Codec:
             config={"threads": "1", "memory_limit": DUCKDB_MEMORY, "temp_directory": ".tmp"}
         )
         merges = pa.table(
-            {"pair": [p for p, _ in pairs], "merged": [m for _, m in pairs]}
+            {"pair": [pair for pair, _ in pairs], "merged": [rank for _, rank in pairs]}
         )
         vocabulary = pa.table(
             {"token": list(ranks.values()), "token_hex": [t.hex() for t in ranks]}
@@ -146,13 +187,18 @@ class Codec:
     def _merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All words' ids one after the other, and where each word's end."""
         lengths = np.array([len(word) for word in words], dtype=np.int64)
-        of_word = np.repeat(np.arange(len(words)), lengths)
         letters = self.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
-        rows = self._run(
-            ENCODE, positions={"k": of_word << 32 | places_in_runs(lengths), "token": letters}
-        )
-        counts = np.bincount(rows["word"].to_numpy(), minlength=len(words))
-        return rows["token"].to_numpy().astype(np.uint32), np.cumsum(counts)
+        of_word, place = np.repeat(np.arange(len(words)), lengths), places_in_runs(lengths)
+        long = np.repeat(lengths > LONG_WORD, lengths)
+        parts = []
+        for query, own in ((ENCODE, ~long), (ENCODE_LONG, long)):
+            if own.any():
+                rows = {"k": of_word[own] << 32 | place[own], "token": letters[own]}
+                parts.append(self._run(query, positions=rows))
+        found = pa.concat_tables(parts)
+        word = found["word"].to_numpy()
+        ids = found["token"].to_numpy().astype(np.uint32)
+        return ids[np.argsort(word, kind="stable")], np.cumsum(np.bincount(word))
 
     def decode(self, coded: Iterable[bytes]) -> list[bytes]:
         """The bytes that each id sequence stands for.
