@@ -1,0 +1,141 @@
+"""Token counts, byte-level BPE: against the libraries, on any text and on messy tables."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+
+import numpy as np
+import public_tokenizers as public
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from trailmart.llm import byte_bpe, token_counts
+from trailmart.llm.queries import BYTE_BPE, WORD_BPE
+
+ANY_TEXT = st.text(
+    st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("  \n\t'saething12=Σ.")),
+    max_size=80,
+)
+
+
+@pytest.fixture(scope="module")
+def reference():
+    lines = open(public.path(BYTE_BPE), "rb")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding(
+        "own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return byte_bpe.Codec(public.path(BYTE_BPE), public.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def runs():
+    return token_counts.Runs(public.path(WORD_BPE))
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(public.path(WORD_BPE))
+
+
+@settings(max_examples=150, deadline=None)
+@given(texts=st.lists(ANY_TEXT, max_size=4))
+def test_byte_bpe_equals_the_library(codec, reference, texts):
+    coded = codec.encode(texts)
+    assert [np.frombuffer(c, "<u4").tolist() for c in coded] == [
+        reference.encode_ordinary(text) for text in texts
+    ]
+    assert codec.decode(coded) == [text.encode() for text in texts]
+
+
+@pytest.mark.parametrize("text", ["a" * 3_000, "=" * 999, " " * 500 + "x", "\n\n \t", "中" * 400])
+def test_byte_bpe_of_long_runs(codec, reference, text):
+    assert np.frombuffer(codec.encode([text])[0], "<u4").tolist() == reference.encode_ordinary(text)
+
+
+def test_byte_bpe_forgets_words_beyond_its_bound(codec, reference, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 3)
+    for text in ("one two three four five", "six seven one two", ""):
+        ids = np.frombuffer(codec.encode([text])[0], "<u4").tolist()
+        assert ids == reference.encode_ordinary(text)
+
+
+def test_byte_bpe_decodes_slices_with_equal_hashes(codec, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "HASH_FACTOR", np.uint64(0))
+    texts = ["one two three", "three two one", "one"]
+    assert codec.decode(codec.encode(texts)) == [text.encode() for text in texts]
+
+
+def test_byte_bpe_on_a_messy_table(messy, reference):
+    path = public.path(BYTE_BPE)
+    rows = byte_bpe.round_trip_digests(messy, path, public.PATTERN).collect()
+    want = []
+    for doc_id, text in messy.select("doc_id", "text").collect():
+        ids = reference.encode_ordinary(text or "")
+        digests = np.array(ids, "<u4").tobytes(), (text or "").encode()
+        want.append((doc_id, len(ids), *[hashlib.sha256(d).hexdigest() for d in digests]))
+    assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, want))
+    coded = byte_bpe.encode(messy, ["doc_id", "lang"], path, public.PATTERN)
+    assert coded.columns == ["doc_id", "lang", "ids", "n_tokens"]
+    decoded = byte_bpe.decode(coded, ["doc_id"], path, public.PATTERN)
+    assert sorted(bytes(r["decoded"]) for r in decoded.collect()) == sorted(
+        (r["text"] or "").encode() for r in messy.select("text").collect()
+    )
+    assert byte_bpe.round_trip_digests(messy.limit(0), path, public.PATTERN).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=ANY_TEXT, chunk=st.integers(1, 30))
+def test_token_counts_equal_the_library_for_any_chunks(runs, tokenizer, text, chunk):
+    token_counts.CHUNK, whole = chunk, token_counts.CHUNK
+    try:
+        found = token_counts.tokens_of(text, runs)
+    finally:
+        token_counts.CHUNK = whole
+    assert found == len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["<|endoftext|>", "a<|startoftext|>b <|ENDOFTEXT|>", "ΣΑΣ Σ", "İi", "it's we'll", "a" * 9_000,
+     "a\x1cb\x85c d", "été", "½ Ⅷ ①23"],
+)
+def test_token_counts_of_odd_texts(runs, tokenizer, text):
+    want = len(tokenizer.encode(text, add_special_tokens=False).ids)
+    assert token_counts.tokens_of(text, runs) == want
+
+
+def test_transitions_beyond_the_bound_are_compiled_again(runs, tokenizer, monkeypatch):
+    monkeypatch.setattr(token_counts, "KEPT_TRANSITIONS", 5)
+    for word in ("internationalisation", "thethethe", "zyxwvut"):
+        want = len(tokenizer.encode(word, add_special_tokens=False).ids)
+        assert runs.transducer.count(word.encode()) == want
+
+
+def test_prefix_scan_gives_every_prefix(runs, tokenizer):
+    text = "the quick brown fox's 12 jumps   over it all"
+    chunks = [text[at : at + 7] for at in range(0, len(text), 7)]
+    maps = [token_counts.chunk_map(chunk, runs) for chunk in chunks]
+    for n, whole in enumerate(token_counts.prefix_scan(maps, runs)):
+        found = (whole.tokens or 0) + sum(runs[end] for end in (whole.head, whole.tail) if end)
+        prefix = "".join(chunks[: n + 1])
+        assert found == len(tokenizer.encode(prefix, add_special_tokens=False).ids)
+
+
+def test_token_counts_on_a_messy_table(messy, tokenizer):
+    path = public.path(WORD_BPE)
+    counted = token_counts.with_token_counts(messy, path, 2_048, ["doc_id"])
+    want = []
+    for doc_id, text in messy.select("doc_id", "text").collect():
+        tokens = len(tokenizer.encode(text or "", add_special_tokens=False).ids)
+        want.append((doc_id, len((text or "").encode()), tokens, tokens > 2_048))
+    assert sorted(map(repr, map(tuple, counted.collect()))) == sorted(map(repr, want))
+    assert token_counts.with_token_counts(messy.limit(0), path, 1, ["doc_id"]).collect() == []
