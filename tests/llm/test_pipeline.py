@@ -1,0 +1,69 @@
+"""The pipeline against a brute-force version, and the registered queries."""
+
+from __future__ import annotations
+
+import __spark_entry__ as driver
+import pytest
+
+import corpus_pipeline
+from tests.llm.test_duplicates import brute_roots
+from tests.llm.test_scans import brute
+from tests.oracle_check import check
+from trailmart.llm import line_quality, quality_classifier, simhash
+from trailmart.llm.common import table
+
+TABLES = "/root/testdata/sf0.001"
+
+
+def test_each_operator_and_the_pipeline_are_registered():
+    names = driver.queries()
+    for number in range(1, 11):
+        assert sum(name.startswith(f"op{number}_") for name in names) == 1
+    assert "pipeline" in names
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = table(spark, TABLES, "documents")
+    found = [docs.collect()]
+    for _, stage in corpus_pipeline.STAGES:
+        kept = stage(spark, docs, TABLES)
+        found.append(kept.collect())
+        docs = spark.createDataFrame(found[-1], kept.schema)
+        if len(found) < len(corpus_pipeline.STAGES):
+            assert kept.columns == table(spark, TABLES, "documents").columns
+    return found
+
+
+def test_stages_decide_as_brute_force_does(spark, stages):
+    raw, labels = table(spark, TABLES, "documents"), table(spark, TABLES, "labels")
+    documents, classified, ruled, single, clean, coded = (sorted(rows) for rows in stages)
+    forest = quality_classifier.learn(raw, labels)
+    good = [
+        r for r in documents
+        if forest.scores(_row(quality_classifier.statistics(r["text"])))[0] >= 0.3
+    ]
+    assert classified == good
+    chain = line_quality.learn(raw, labels)
+    assert ruled == [r for r in classified if line_quality.judge(r["text"], chain)[-1]]
+    roots = brute_roots([simhash.fingerprint(r["text"]) for r in ruled])
+    assert single == [r for n, r in enumerate(ruled) if roots[n] == n]
+    items = [tuple(r) for r in table(spark, TABLES, "benchmark").collect()]
+    judged = brute([(r["doc_id"], r["text"]) for r in single], items)
+    assert clean == [r for r, (*_, bad) in zip(single, judged) if not bad]
+    assert [r["doc_id"] for r in coded] == [r["doc_id"] for r in clean]
+
+
+def _row(values):
+    import numpy as np
+
+    return np.array([values])
+
+
+def test_run_equals_its_stages(spark, stages):
+    assert sorted(corpus_pipeline.run(spark, TABLES).collect()) == sorted(stages[-1])
+
+
+@pytest.mark.parametrize("name", ["op7_url_reputation", "op9_license_scan"])
+def test_oracles(spark, name):
+    assert check(spark, TABLES, [name]) == {name: None}

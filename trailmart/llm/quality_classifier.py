@@ -111,7 +111,8 @@ def fit(rows: np.ndarray, labels: np.ndarray) -> Forest:
     share = np.clip(labels.mean(), 1e-6, 1 - 1e-6) if len(labels) else 0.5
     base = float(np.log(share / (1 - share)))
     if len(np.unique(labels)) < 2:
-        return Forest(base, *(np.zeros((0, size)) for size in (inner, inner, leaves)))
+        none = np.zeros((0, inner), dtype=np.int64)
+        return Forest(base, none, none.astype(float), np.zeros((0, leaves)))
     edges = [_edges(column) for column in rows.T]
     binned = np.stack([np.searchsorted(e, c) for e, c in zip(edges, rows.T)], axis=1)
     feature = np.zeros((TREES, inner), dtype=np.int64)

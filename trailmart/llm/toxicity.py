@@ -125,12 +125,17 @@ def _kept(names: list[str], swap: bool) -> Callable[[Column], Column]:
 
 
 def choose_features(sample: DataFrame, max_features: int) -> list[str]:
-    """The features with the largest chi-square against the label, and the identity terms'."""
+    """The features with the largest chi-square against the label, and the identity terms'.
+
+    None where the sample has no two labels to tell apart.
+    """
     of_each = sample.agg(F.sum("label").alias("toxic"), F.count("*").alias("all")).head()
     toxic, everything = of_each["toxic"] or 0, of_each["all"]
+    if toxic in (0, everything):
+        return []
     held = sample.select("label", F.explode(_features("text")).alias("feature"))
     counts = held.groupBy("feature").agg(F.sum("label").alias("t"), F.count("*").alias("n"))
-    expected = F.col("n") * (toxic / max(1, everything))
+    expected = F.col("n") * (toxic / everything)
     chi = (F.col("t") - expected) ** 2 / (expected * (1 - F.col("n") / (everything + 1)))
     best = (
         counts.filter(F.col("n") >= LEAST_DOCUMENTS)
