@@ -10,6 +10,7 @@ from trailmart.schema import (
     EVENTS,
     PRODUCT_DAY_KEYS,
 )
+from trailmart.session import shared_folder
 from trailmart.sources.tables import append_by_name, partitions, read_table, store_events, table_name
 
 from pyspark.sql import functions as F
@@ -144,3 +145,12 @@ def test_late_events_end_as_if_loaded_at_once(spark, schema, events_of):
     dataframe_jobs.build_session_products(spark, "2024-01-06", "2024-01-07", schema)
     dataframe_jobs.merge_daily_product_cart_abandonment(spark, *WEEK, schema)
     assert stored() == [(5, "p1", 1, 1, 0), (5, "p2", 1, 0, 1)]
+
+
+def test_a_merge_leaves_no_copy_of_its_source(spark, merge, result):
+    merge(result((5, "p1", "x", 7)))
+    with pytest.raises(ValueError, match="outside"):
+        merge(result((20, "p1", "x", 7)))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert not [f for f in files.listStatus(path) if "merge-source-" in f.getPath().getName()]

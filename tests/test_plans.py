@@ -11,9 +11,9 @@ from trailmart.operators.summaries import daily_traffic, session_products, sessi
 from trailmart.plans import sql_text
 from trailmart.registry.queries import QUERIES
 from trailmart.schema import EVENTS, SESSION_PRODUCTS
-from trailmart.session import broadcast_if_small, fresh_path
+from trailmart.session import fresh_path
 from trailmart.sources.kafka import as_records
-from trailmart.sources.tables import store_events, table_name
+from trailmart.sources.tables import read_events, store_events, table_name
 from trailmart.streaming.ingest import parse_and_validate_events
 
 WEEK = ("2024-01-05", "2024-01-12")
@@ -47,8 +47,12 @@ def events(spark, schema, events_of):
         (session_products, 9, 1),
     ],
 )
-def test_summaries_scan_only_what_they_need(events, interval, operator, columns, expected_shuffles):
-    text = plan(operator(events, interval(*WEEK)))
+def test_summaries_scan_only_what_they_need(
+    spark, schema, events, interval, operator, columns, expected_shuffles
+):
+    """Over what the jobs read: the days of the interval, by partition."""
+    week = interval(*WEEK)
+    text = plan(operator(read_events(spark, schema, week), week))
     read = re.search(r"ReadSchema: struct<(.*)>", text).group(1)
     assert len(re.findall(r"\w+:", read)) == columns
     assert "GreaterThanOrEqual(event_time" in text and "LessThan(event_time" in text
@@ -123,9 +127,13 @@ def test_documents_are_parsed_once(events_of):
     assert shuffles(text) == 0
 
 
-def test_a_broadcast_is_hinted_only_for_a_counted_size(spark):
-    assert "broadcast" in str(broadcast_if_small(spark.range(10), 10)._jdf.logicalPlan())
-    assert "broadcast" not in str(broadcast_if_small(spark.range(11), 10)._jdf.logicalPlan())
+@pytest.mark.parametrize("name", ["cart_abandonment", "cart_abandonment_sql"])
+def test_the_abandonment_query_makes_session_products_once(spark, name):
+    """The report reads what was written; the events and their shuffle are not in its plan."""
+    text = plan(QUERIES[name](spark, SMALL_TABLES))
+    assert "events.parquet" not in text and "session-products-" in text
+    assert "first_purchase_time" not in text
+    assert shuffles(text) <= 4
 
 
 @pytest.mark.parametrize("name", ["cart_abandonment", "daily_traffic", "sessions", "json_decode"])

@@ -149,3 +149,11 @@ def test_traffic_of_an_interval_is_that_of_its_days(events_of, interval, drawn):
         F.dayofmonth("event_date"), "total_events", "unique_users", "unique_sessions", "purchase_count"
     ).collect()
     assert {row[0]: tuple(row[1:]) for row in found} == expected
+
+
+def test_a_foreign_event_date_column_filters_nothing(events_of, interval):
+    """Only where the layout is known may days be pruned; here the column is a local date."""
+    rows = [event(event_id=f"e{n}", event_time=f"2024-01-05 {n:02}:00:00") for n in range(24)]
+    local = events_of(*rows).withColumn("event_date", F.expr("CAST(event_time - INTERVAL 8 HOURS AS DATE)"))
+    (row,) = daily_traffic(local, interval("2024-01-05", "2024-01-06")).collect()
+    assert row.total_events == 24

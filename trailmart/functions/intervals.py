@@ -58,3 +58,22 @@ class Interval:
         """Days that can hold an event time of the interval, for partition pruning."""
         last_day = (self.end_time - F.expr("INTERVAL 1 MICROSECOND")).cast("date")
         return (F.col(column) >= self.start_time.cast("date")) & (F.col(column) <= last_day)
+
+    def holds_day(self, column: str = "event_date") -> Column:
+        """Days that lie wholly in the interval."""
+        day = F.col(column).cast("timestamp")
+        return (day >= self.start_time) & (day + F.expr("INTERVAL 1 DAY") <= self.end_time)
+
+    def days(self, spark: SparkSession) -> list[str]:
+        """The days that can hold an event time of the interval, as text."""
+        found = spark.sql(
+            """
+            WITH bounds AS (
+                SELECT CAST(CAST(:start AS TIMESTAMP) AS DATE) AS first,
+                       CAST(CAST(:end AS TIMESTAMP) - INTERVAL 1 MICROSECOND AS DATE) AS last
+            )
+            SELECT explode(sequence(first, last)) AS day FROM bounds WHERE first <= last
+            """,
+            args=self.bounds,
+        )
+        return [str(row.day) for row in found.collect()]

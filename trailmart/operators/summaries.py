@@ -18,9 +18,7 @@ from trailmart.schema import EVENT_TYPES, PRODUCT_EVENT_TYPES, SESSION_PRODUCTS
 
 
 def events_in_interval(events: DataFrame, interval: Interval) -> DataFrame:
-    """Events of the interval; a table laid out by ``event_date`` reads only its days."""
-    if "event_date" in events.columns:
-        events = events.filter(interval.may_hold_day("event_date"))
+    """Events of the interval, by their time alone."""
     return events.filter(interval.has_time("event_time"))
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from datetime import date
 from itertools import groupby
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmart.functions.intervals import Interval
@@ -25,7 +27,9 @@ from trailmart.sources.tables import (
 SMALL_FILE, LARGE_FILE = 0.75, 1.8
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 MIN_INPUT_FILES = 2
-COMPACTED = "compacted-"
+COMPACTED, TAIL = "compacted-", "-tail"
+KEYS = "event_date DATE, ingest_batch STRING"
+FILES = f"{KEYS}, path STRING, length BIGINT"
 
 
 def compact_clickstream_events(
@@ -37,95 +41,198 @@ def compact_clickstream_events(
     min_input_files: int = MIN_INPUT_FILES,
     days_at_once: int = 4,
 ) -> DataFrame:
-    """Bin-pack badly sized files that hold events of the interval; no row changes.
+    """Bin-pack badly sized files of the interval's batches; no row changes.
 
-    May run beside the ingestion: only its newest batch can still be repeated, and that
-    one is left alone. Returns files and bytes before and after, by day.
+    A batch of a day is the unit: all its files are rewritten or none, and the metrics count
+    the same files, by day before and after. May run beside the ingestion: only its newest
+    batch can still be repeated, and that one is left alone. It must not overlap with the
+    jobs that summarise the same days, nor with another compaction.
     """
     interval = Interval.between(use_utc(spark), data_interval_start, data_interval_end)
     finish_interrupted(spark, schema)
-    table = table_name(EVENTS, schema)
-    # One row per stored batch, as many as the catalog lists partitions; no data.
-    chosen = batches_to_compact(
-        spark, interval, schema, target_file_bytes, min_input_files
-    ).collect()
-    compacted = COMPACTED + uuid.uuid4().hex
-    _log(spark, schema, compacted, chosen)
-
-    chosen.sort(key=lambda row: row.event_date)
-    by_day = [
-        (day, [row.ingest_batch for row in rows])
-        for day, rows in groupby(chosen, key=lambda row: row.event_date)
-    ]
+    spark.sql(f"TRUNCATE TABLE {table_name(COMPACTION_LOG, schema)}")
+    run = COMPACTED + uuid.uuid4().hex
+    plans = plan_days(spark, interval, schema, target_file_bytes, min_input_files)
+    _log(spark, schema, run, plans)
     packing = _packing_session(spark, target_file_bytes)
     with ThreadPoolExecutor(max_workers=days_at_once) as pool:
         jobs = [
-            pool.submit(_compact_day, packing, table, day, batches, compacted)
-            for day, batches in by_day
+            pool.submit(_compact_day, packing, table_name(EVENTS, schema), run, plan)
+            for plan in plans
         ]
         for job in jobs:
             job.result()
-    return _metrics(spark, table, chosen, compacted)
+    spark.sql(f"TRUNCATE TABLE {table_name(COMPACTION_LOG, schema)}")
+    return _metrics(spark, schema, run, plans)
+
+
+@dataclass(frozen=True)
+class DayPlan:
+    """What a run does on one day; sizes and paths of files, never rows."""
+
+    day: str
+    batches: tuple[str, ...]
+    files: int
+    size: int
+    #: Files that fill no bin; they go to a batch of their own, which the next run takes.
+    tail: tuple[str, ...]
+    #: Whether anything is written beside the tail.
+    fills: bool
 
+    def outputs(self, run: str) -> list[str]:
+        return [run] * self.fills + [run + TAIL] * bool(self.tail)
 
-def batches_to_compact(
+
+def plan_days(
     spark: SparkSession,
     interval: Interval,
     schema: str,
     target_file_bytes: int = TARGET_FILE_BYTES,
     min_input_files: int = MIN_INPUT_FILES,
-) -> DataFrame:
-    """Stored batches with badly sized files, on days where rewriting them pays."""
-    stored = spark.table(table_name(EVENTS, schema)).filter(interval.may_hold_day("event_date"))
-    files = (
-        stored.filter(interval.has_time("event_time"))
-        .select("event_date", "ingest_batch", "_metadata.file_path", "_metadata.file_size")
-        .distinct()
-    )
-    small = F.col("file_size") < SMALL_FILE * target_file_bytes
-    large = F.col("file_size") > LARGE_FILE * target_file_bytes
-    batches = (
-        files.groupBy("event_date", "ingest_batch")
-        .agg(
-            F.count(F.lit(1)).alias("files"),
-            F.sum("file_size").alias("bytes"),
-            F.count_if(small | large).alias("badly_sized"),
-        )
-        .join(_repeatable_batches(spark, schema), "ingest_batch", "left_anti")
-        .filter("badly_sized > 0")
-    )
-    # One row per stored batch of a day, so the window holds no data either.
-    day = Window.partitionBy("event_date")
-    enough = (F.sum("badly_sized").over(day) >= min_input_files) | (
-        F.sum("bytes").over(day) > LARGE_FILE * target_file_bytes
+) -> list[DayPlan]:
+    """The days on which rewriting gives fewer files or splits a large one.
+
+    A batch takes part if most of its bytes lie in badly sized files, so full files are not
+    written again because of a late small one.
+    """
+    files = batch_files(spark, interval, schema).collect()
+    plans = []
+    for day, of_day in _grouped(files, "event_date"):
+        chosen = []
+        for batch, own in _grouped(of_day, "ingest_batch"):
+            # What a compaction wrote is as small as its row groups let it be.
+            most = float("inf") if batch.startswith(COMPACTED) else LARGE_FILE
+            bad = sum(
+                row.length
+                for row in own
+                if not SMALL_FILE * target_file_bytes <= row.length <= most * target_file_bytes
+            )
+            if 2 * bad > sum(row.length for row in own):
+                chosen += own
+        plan = _plan_day(str(day), chosen, target_file_bytes, min_input_files)
+        if plan:
+            plans.append(plan)
+    return plans
+
+
+def _grouped(rows: list, column: str) -> list[tuple]:
+    rows = sorted(rows, key=lambda row: row[column])
+    return [(key, list(group)) for key, group in groupby(rows, key=lambda row: row[column])]
+
+
+def _plan_day(day: str, rows: list, target: int, min_input_files: int) -> DayPlan | None:
+    bins = packed([(row.path, row.length) for row in rows], target)
+    splits = any(
+        row.length > LARGE_FILE * target and not row.ingest_batch.startswith(COMPACTED)
+        for row in rows
     )
-    return (
-        batches.withColumn("enough", enough)
-        .filter("enough")
-        .select("event_date", "ingest_batch", "files", "bytes")
+    if not splits and (len(rows) < min_input_files or len(bins) >= len(rows)):
+        return None
+    last = bins[-1]
+    whole = {row.path: row.length for row in rows}
+    short = sum(size for _, size in last) < SMALL_FILE * target
+    apart = short and all(whole[path] == size for path, size in last)
+    return DayPlan(
+        day=day,
+        batches=tuple(sorted({row.ingest_batch for row in rows})),
+        files=len(rows),
+        size=sum(whole.values()),
+        tail=tuple(path for path, _ in last) if apart else (),
+        fills=len(bins) > 1 or not apart,
     )
 
 
-def finish_interrupted(spark: SparkSession, schema: str = DEFAULT_SCHEMA) -> None:
-    """Drop inputs that an interrupted run had already rewritten but not yet dropped."""
+def packed(files: list[tuple[str, int]], target: int) -> list[list[tuple[str, int]]]:
+    """The (path, bytes) parts of each task of a scan that packs up to ``target`` bytes.
+
+    A scan cuts large files at the target and fills one task after the other, from the
+    largest part to the smallest; only the last task can be far from full.
+    """
+    parts = [
+        (path, min(target, size - start)) for path, size in files for start in range(0, size, target)
+    ]
+    bins: list[list[tuple[str, int]]] = [[]]
+    filled = 0
+    for part in sorted(parts, key=lambda part: -part[1]):
+        if bins[-1] and filled + part[1] > target:
+            bins.append([])
+            filled = 0
+        bins[-1].append(part)
+        filled += part[1]
+    return bins
+
+
+def batch_files(spark: SparkSession, interval: Interval, schema: str) -> DataFrame:
+    """(event_date, ingest_batch, path, length) of batches that hold events of the interval.
+
+    On days that lie wholly in the interval the partition decides; events are read only for
+    the first and last day, where they are cut. Files are listed, not read.
+    """
     table = table_name(EVENTS, schema)
-    stored = partitions(spark, table, EVENTS)
-    log = spark.table(table_name(COMPACTION_LOG, schema)).withColumn(
-        "event_date", F.col("event_date").cast("string")
+    days = interval.days(spark)
+    stored = partitions(spark, table, EVENTS, days)
+    there = stored.select("event_date").distinct()
+    found = sorted(row.event_date for row in there.collect())
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    location = location.first().data_type.rstrip("/")
+    if not found:
+        return spark.createDataFrame([], FILES)
+    files = (
+        spark.read.format("binaryFile")
+        .schema(f"path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY, {KEYS}")
+        .option("basePath", location)
+        .option("pathGlobFilter", "*.parquet")
+        .load([f"{location}/event_date={day}" for day in found])
+        .select("event_date", "ingest_batch", "path", "length")
     )
-    rewritten = stored.withColumnRenamed("ingest_batch", "compacted_batch")
-    left_over = (
-        log.join(rewritten, ["event_date", "compacted_batch"], "left_semi")
-        .join(stored, ["event_date", "ingest_batch"], "left_semi")
+    events = spark.table(table).filter(F.col("event_date").isin(days[:1] + days[-1:]))
+    touched = (
+        events.filter(interval.has_time("event_time") & ~interval.holds_day("event_date"))
         .select("event_date", "ingest_batch")
+        .distinct()
+    )
+    whole = files.select("event_date", "ingest_batch").filter(interval.holds_day("event_date"))
+    taken = whole.union(touched).distinct()
+    spared = _repeatable_batches(stored)
+    return files.join(taken, ["event_date", "ingest_batch"], "left_semi").join(
+        spared, "ingest_batch", "left_anti"
     )
-    drop_partitions(spark, table, [row.asDict() for row in left_over.collect()])
 
 
-def _repeatable_batches(spark: SparkSession, schema: str) -> DataFrame:
-    """The newest batch of every stream: the only one its checkpoint may not have yet."""
+def finish_interrupted(
+    spark: SparkSession, schema: str = DEFAULT_SCHEMA, interval: Interval | None = None
+) -> None:
+    """Complete what an interrupted run had written, or take it back.
+
+    Where all its outputs of a day are there, their inputs are dropped; where only some are,
+    these are. With an interval, on its days alone.
+    """
+    log = spark.table(table_name(COMPACTION_LOG, schema))
+    if interval is not None:
+        log = log.filter(interval.may_hold_day("event_date"))
+    logged = log.withColumn("event_date", F.col("event_date").cast("string")).collect()
+    if not logged:
+        return
+    table, days = table_name(EVENTS, schema), sorted({row.event_date for row in logged})
+    stored = {tuple(row) for row in partitions(spark, table, EVENTS, days).collect()}
+    unwanted = []
+    for day, rows in _grouped(logged, "event_date"):
+        outputs = {(day, row.compacted_batch) for row in rows}
+        inputs = {(day, row.ingest_batch) for row in rows}
+        if outputs <= stored:
+            unwanted += sorted(inputs & stored)
+        elif inputs <= stored:
+            unwanted += sorted(outputs & stored)
+    keys = EVENTS.partitioned_by
+    drop_partitions(spark, table, [dict(zip(keys, values)) for values in unwanted])
+
+
+def _repeatable_batches(stored: DataFrame) -> DataFrame:
+    """The newest batch of every stream: the only one its checkpoint may not have yet.
+
+    Among the listed days alone, which spares one more batch at most.
+    """
     stream_batch = r"^(.*)-(\d{10})$"
-    stored = partitions(spark, table_name(EVENTS, schema), EVENTS)
     return (
         stored.filter(F.col("ingest_batch").rlike(stream_batch))
         .groupBy(F.regexp_extract("ingest_batch", stream_batch, 1))
@@ -134,10 +241,16 @@ def _repeatable_batches(spark: SparkSession, schema: str) -> DataFrame:
     )
 
 
-def _log(spark: SparkSession, schema: str, compacted: str, chosen: list) -> None:
-    if not chosen:
+def _log(spark: SparkSession, schema: str, run: str, plans: list[DayPlan]) -> None:
+    """Each output of a day with each of its inputs."""
+    if not plans:
         return
-    rows = [(compacted, row.event_date, row.ingest_batch) for row in chosen]
+    rows = [
+        (output, date.fromisoformat(plan.day), batch)
+        for plan in plans
+        for output in plan.outputs(run)
+        for batch in plan.batches
+    ]
     log = spark.createDataFrame(rows, COMPACTION_LOG.ddl)
     append_by_name(log.coalesce(1), table_name(COMPACTION_LOG, schema), COMPACTION_LOG)
 
@@ -154,34 +267,35 @@ def _packing_session(spark: SparkSession, target_file_bytes: int) -> SparkSessio
     return packing
 
 
-def _compact_day(
-    spark: SparkSession, table: str, day, batches: list[str], compacted: str
-) -> None:
-    stored = spark.table(table).filter(F.col("event_date") == F.lit(day))
-    rewritten = stored.filter(F.col("ingest_batch").isin(batches)).withColumn(
-        "ingest_batch", F.lit(compacted)
+def _compact_day(spark: SparkSession, table: str, run: str, plan: DayPlan) -> None:
+    stored = spark.table(table).filter(F.col("event_date") == F.lit(plan.day).cast("date"))
+    # The scan's paths are escaped like the listed ones.
+    in_tail = F.col("_metadata.file_path").isin(*plan.tail)
+    batch = F.when(in_tail, run + TAIL).otherwise(run)
+    rewritten = stored.filter(F.col("ingest_batch").isin(*plan.batches)).withColumn(
+        "ingest_batch", batch
     )
     overwrite_partitions(rewritten, table)
     drop_partitions(
-        spark, table, [{"event_date": str(day), "ingest_batch": name} for name in batches]
+        spark, table, [{"event_date": plan.day, "ingest_batch": name} for name in plan.batches]
     )
 
 
-def _metrics(spark: SparkSession, table: str, chosen: list, compacted: str) -> DataFrame:
+def _metrics(spark: SparkSession, schema: str, run: str, plans: list[DayPlan]) -> DataFrame:
+    table = table_name(EVENTS, schema)
     before = spark.createDataFrame(
-        chosen, "event_date DATE, ingest_batch STRING, files BIGINT, bytes BIGINT"
+        [(date.fromisoformat(plan.day), plan.files, plan.size) for plan in plans],
+        "event_date DATE, rewritten_files BIGINT, rewritten_bytes BIGINT",
     )
     after = (
         spark.table(table)
-        .filter(F.col("ingest_batch") == compacted)
+        .filter(F.col("event_date").isin(*[plan.day for plan in plans]))
+        .filter(F.col("ingest_batch").isin(run, run + TAIL))
         .select("event_date", "_metadata.file_path", "_metadata.file_size")
         .distinct()
         .groupBy("event_date")
         .agg(F.count(F.lit(1)).alias("added_files"), F.sum("file_size").alias("added_bytes"))
     )
-    return (
-        before.groupBy("event_date")
-        .agg(F.sum("files").alias("rewritten_files"), F.sum("bytes").alias("rewritten_bytes"))
-        .join(after, "event_date", "left")
-        .select("event_date", "rewritten_files", "added_files", "rewritten_bytes", "added_bytes")
+    return before.join(after, "event_date", "left").select(
+        "event_date", "rewritten_files", "added_files", "rewritten_bytes", "added_bytes"
     )

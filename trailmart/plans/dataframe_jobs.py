@@ -2,7 +2,8 @@
 
 Each reads one table, writes one table of the same schema, and expects both to exist.
 Appending jobs add the interval's rows again when they run again; only the merge job
-may be retried freely.
+may be retried freely. Jobs that read events must not overlap with a compaction of their
+days; one that was interrupted is completed first.
 """
 
 from __future__ import annotations
@@ -12,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from trailmart.functions.intervals import Interval
 from trailmart.operators.products import cart_abandonment, product_funnel
 from trailmart.operators.summaries import daily_traffic, session_products, sessions
+from trailmart.plans.compaction import finish_interrupted
 from trailmart.plans.merge_window import merge_window
 from trailmart.schema import (
     ABANDONMENT_MEASURES,
     CART_ABANDONMENT,
     DAILY_TRAFFIC,
-    EVENTS,
     PRODUCT_DAY_KEYS,
     PRODUCT_FUNNEL,
     SESSION_PRODUCTS,
@@ -29,6 +30,7 @@ from trailmart.sources.tables import (
     DATAFRAME_SUFFIX,
     DEFAULT_SCHEMA,
     append_by_name,
+    read_events,
     table_name,
 )
 
@@ -40,7 +42,7 @@ def build_daily_traffic_summary(
     schema: str = DEFAULT_SCHEMA,
 ) -> None:
     interval = _interval(spark, data_interval_start, data_interval_end)
-    _append(daily_traffic(_events(spark, schema), interval), DAILY_TRAFFIC, schema)
+    _append(daily_traffic(_events(spark, schema, interval), interval), DAILY_TRAFFIC, schema)
 
 
 def build_sessions(
@@ -50,7 +52,7 @@ def build_sessions(
     schema: str = DEFAULT_SCHEMA,
 ) -> None:
     interval = _interval(spark, data_interval_start, data_interval_end)
-    _append(sessions(_events(spark, schema), interval), SESSIONS, schema)
+    _append(sessions(_events(spark, schema, interval), interval), SESSIONS, schema)
 
 
 def build_session_products(
@@ -60,7 +62,7 @@ def build_session_products(
     schema: str = DEFAULT_SCHEMA,
 ) -> None:
     interval = _interval(spark, data_interval_start, data_interval_end)
-    _append(session_products(_events(spark, schema), interval), SESSION_PRODUCTS, schema)
+    _append(session_products(_events(spark, schema, interval), interval), SESSION_PRODUCTS, schema)
 
 
 def build_daily_product_funnel(
@@ -107,8 +109,10 @@ def _interval(spark: SparkSession, start: str, end: str) -> Interval:
     return Interval.between(use_utc(spark), start, end)
 
 
-def _events(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.table(table_name(EVENTS, schema))
+def _events(spark: SparkSession, schema: str, interval: Interval) -> DataFrame:
+    """The stored events, without what an interrupted compaction left twice."""
+    finish_interrupted(spark, schema, interval)
+    return read_events(spark, schema, interval)
 
 
 def _session_products(spark: SparkSession, schema: str) -> DataFrame:

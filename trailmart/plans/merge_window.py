@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trailmart.functions.intervals import Interval
 from trailmart.operators.merge import ambiguous_keys, merged_rows, repeated_keys
 from trailmart.schema import TableLayout
-from trailmart.session import fresh_path
+from trailmart.session import fresh_path, remove
 from trailmart.sources.tables import (
     drop_partitions,
     overwrite_partitions,
@@ -35,7 +35,23 @@ def merge_window(
     """
     spark = source.sparkSession
     (day,) = layout.partitioned_by
-    result = _written(source, day)
+    path = fresh_path(spark, "merge-source")
+    try:
+        _merge(_written(source, day, path), name, layout, keys, measures, interval)
+    finally:
+        remove(spark, path)
+
+
+def _merge(
+    result: DataFrame,
+    name: str,
+    layout: TableLayout,
+    keys: Sequence[str],
+    measures: Sequence[str],
+    interval: Interval,
+) -> None:
+    spark = result.sparkSession
+    (day,) = layout.partitioned_by
     outside = result.filter(~F.coalesce(interval.has_date(day), F.lit(False)))
     if not outside.isEmpty():
         raise ValueError(f"Source rows lie outside [{interval.start}, {interval.end})")
@@ -49,7 +65,7 @@ def merge_window(
     overwrite_partitions(together(merged, [day]), name)
 
     # Days, never rows, reach the driver.
-    stored_days = partitions(spark, name, layout).filter(
+    stored_days = partitions(spark, name, layout, interval.days(spark)).filter(
         interval.has_date(F.col(day).try_cast("date"))
     )
     kept_days = result.select(F.col(day).cast("string")).distinct()
@@ -57,8 +73,7 @@ def merge_window(
     drop_partitions(spark, name, [row.asDict() for row in emptied])
 
 
-def _written(source: DataFrame, day: str) -> DataFrame:
+def _written(source: DataFrame, day: str, path: str) -> DataFrame:
     """The source as files in the shared folder, so that its work is done once."""
-    path = fresh_path(source.sparkSession, "merge-source")
     together(source, [day]).write.partitionBy(day).parquet(path)
     return source.sparkSession.read.schema(source.schema).parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trailmart.functions.intervals import Interval
 from trailmart.plans import sql_text
+from trailmart.plans.compaction import finish_interrupted
 from trailmart.plans.merge_window import merge_window
 from trailmart.schema import (
     ABANDONMENT_MEASURES,
@@ -103,6 +104,7 @@ def _interval(spark: SparkSession, start: str, end: str) -> Interval:
 def _append_from_events(
     spark: SparkSession, text: str, layout: TableLayout, interval: Interval, schema: str
 ) -> None:
+    finish_interrupted(spark, schema, interval)
     events = read_events(spark, schema, interval)
     rows = sql_text.run_over_events(text, events, interval)
     append_by_position(rows, table_name(layout, schema), layout)

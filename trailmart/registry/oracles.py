@@ -9,7 +9,7 @@ CLICKSTREAM = """
 raw AS (
   SELECT event_id AS n, ts, user_id AS u, event_type AS source_type, value,
          CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k,
-         (user_id % 4) * 3 + event_id % 3 + 1 AS pk,
+         (user_id * 3 + event_id % 3) % (SELECT max(p_partkey) + 1 FROM part) AS pk,
          CAST(floor((epoch(date_trunc('second', ts)) - 43200) / 259200) AS BIGINT) AS b
   FROM events
 ),
@@ -224,6 +224,27 @@ def validation_case() -> str:
     return "CASE " + " ".join(f"WHEN {c} THEN '{m}'" for c, m in rules) + " END"
 
 
+# One way to break each rule, in the order of the rules.
+BROKEN_FIELDS = (
+    ("event_id", "''"),
+    ("user_id", "NULL"),
+    ("session_id", "' '"),
+    ("event_type", "''"),
+    ("page_url", "NULL"),
+    ("event_time", "NULL"),
+    ("device_type", "'  '"),
+    ("browser", "''"),
+    ("traffic_source", "NULL"),
+    ("event_type", "'refund'"),
+    ("search_query", "''"),
+    ("product_id", "NULL"),
+    ("product_name", "''"),
+    ("category", "' '"),
+    ("price", "-1"),
+    ("cart_id", "NULL"),
+    ("quantity", "0"),
+    ("order_id", "''"),
+)
 NARROW_START, NARROW_END = "2024-01-08 00:00:00", "2024-01-12 00:00:00"
 
 
@@ -238,6 +259,18 @@ def _session_products_cte(end: str = END, also_by: str = "", where: str = "") ->
     return f"session_products AS ({rows})"
 
 
+def _broken_events() -> str:
+    """The events with one field of each broken, by the number in its id."""
+    turn = f"CAST(substr(event_id, 2) AS BIGINT) % {len(BROKEN_FIELDS) + 1}"
+    ways: dict[str, str] = {}
+    for place, (field, value) in enumerate(BROKEN_FIELDS):
+        ways[field] = ways.get(field, "") + f" WHEN {place} THEN {value}"
+    replaced = ", ".join(
+        f"CASE {turn} {cases} ELSE {field} END AS {field}" for field, cases in ways.items()
+    )
+    return f"broken AS (SELECT * REPLACE ({replaced}) FROM clickstream)"
+
+
 def oracle_statements() -> dict[str, str]:
     events = _with(CLICKSTREAM)
     stored = _with(CLICKSTREAM, _session_products_cte())
@@ -286,6 +319,24 @@ def oracle_statements() -> dict[str, str]:
         "validation_error_counts": with_error
         + "SELECT validation_error AS message, count(*) AS events FROM marked "
         + "WHERE validation_error IS NOT NULL GROUP BY 1",
+        "validation_all_rules": _with(CLICKSTREAM, _broken_events())
+        + f"SELECT {validation_case()} AS message, count(*) AS events FROM broken GROUP BY 1",
+        "stream_stamped": with_error
+        + "SELECT count(*) AS stamped_events FROM marked WHERE validation_error IS NULL",
+        "sessions_daily_runs": events
+        + sessions().replace("GROUP BY session_id", "GROUP BY CAST(event_time AS DATE), session_id"),
+        "session_products_daily_runs": events
+        + session_products(also_by=", CAST(event_time AS DATE)"),
+        # Each load has one file a day, and a day with several gets one.
+        "compact_metrics": events
+        + f"""SELECT CAST(event_time AS DATE) AS event_date, count(DISTINCT CASE
+                WHEN event_type IN ('add_to_cart', 'remove_from_cart') THEN 1
+                WHEN event_type IN ('checkout_start', 'purchase') THEN 2 ELSE 0 END)
+                AS rewritten_files, CAST(1 AS BIGINT) AS added_files
+              FROM clickstream WHERE {_within('event_time', START, END)}
+              GROUP BY 1 HAVING rewritten_files > 1""",
+        "compact_rerun_metrics": "SELECT DATE '2024-01-05' AS event_date, "
+        + "CAST(0 AS BIGINT) AS rewritten_files, CAST(0 AS BIGINT) AS added_files WHERE false",
         "stream_rejects": with_error + "SELECT * FROM marked WHERE validation_error IS NOT NULL",
     }
     same_as = {

@@ -15,7 +15,14 @@ from trailmart.operators import products, summaries
 from trailmart.plans import dataframe_jobs, sql_jobs, sql_text
 from trailmart.plans.compaction import compact_clickstream_events
 from trailmart.plans.merge_window import merge_window
-from trailmart.registry.oracles import END, LATE_CUT, NARROW_END, NARROW_START, START
+from trailmart.registry.oracles import (
+    BROKEN_FIELDS,
+    END,
+    LATE_CUT,
+    NARROW_END,
+    NARROW_START,
+    START,
+)
 from trailmart.schema import (
     ABANDONMENT_MEASURES,
     CART_ABANDONMENT,
@@ -29,7 +36,7 @@ from trailmart.schema import (
     SESSIONS,
     TableLayout,
 )
-from trailmart.session import fresh_path, use_utc
+from trailmart.session import fresh_path, use_utc, written_once
 from trailmart.sources.kafka import as_records, read_record_files
 from trailmart.sources.retail_events import clickstream_events
 from trailmart.sources.tables import (
@@ -82,8 +89,19 @@ def product_funnel(spark, sf_dir):
     return products.product_funnel(session_products(spark, sf_dir), interval_of(spark))
 
 
+def _report_columns(rows: DataFrame) -> DataFrame:
+    """What the abandonment report needs of session products."""
+    return rows.select("session_id", *PRODUCT_DAY_KEYS, "added_to_cart", "purchased")
+
+
+def _abandonment_of(rows: DataFrame, interval: Interval) -> DataFrame:
+    """The report reads its input twice, so session products are made and written once."""
+    stored = written_once(_report_columns(rows), "session-products")
+    return products.cart_abandonment(stored, interval)
+
+
 def cart_abandonment(spark, sf_dir):
-    return products.cart_abandonment(session_products(spark, sf_dir), interval_of(spark))
+    return _abandonment_of(session_products(spark, sf_dir), interval_of(spark))
 
 
 def subday_interval(spark, sf_dir):
@@ -104,6 +122,8 @@ def _sql_over_session_products(text: str) -> Query:
     def query(spark, sf_dir):
         events, interval = clickstream_events(spark, sf_dir), interval_of(spark)
         stored = sql_text.run_over_events(sql_text.SESSION_PRODUCTS, events, interval)
+        if text == sql_text.CART_ABANDONMENT:
+            stored = written_once(_report_columns(stored), "session-products")
         return sql_text.run_over_session_products(text, stored, interval)
 
     return query
@@ -113,7 +133,10 @@ def _sql_over_session_products(text: str) -> Query:
 
 
 def _scratch_schema(spark: SparkSession) -> str:
-    """A schema of its own for one call, with its files in the shared folder."""
+    """A schema of its own for one call, with its files in the shared folder.
+
+    It stays for the caller to read; the folder is the session's to clear.
+    """
     schema = f"scratch_{uuid.uuid4().hex}"
     spark.sql(f"CREATE SCHEMA {schema} LOCATION '{fresh_path(use_utc(spark), 'tables')}'")
     return schema
@@ -158,14 +181,29 @@ def _table_pipeline(jobs, suffix: str, layout: TableLayout, steps: tuple[str, ..
     return query
 
 
-def cart_abandonment_daily_runs(spark, sf_dir):
-    """Session products loaded day by day, so that a session spanning midnight has two rows."""
+def _daily_runs(spark: SparkSession, sf_dir: str, build: Callable) -> str:
+    """A schema with a job run day by day, so that a session over midnight has two rows."""
     schema = _stored_clickstream(spark, sf_dir)
     day, last = date.fromisoformat(START[:10]), date.fromisoformat(END[:10])
     while day < last:
         following = day + timedelta(days=1)
-        dataframe_jobs.build_session_products(spark, str(day), str(following), schema)
+        build(spark, str(day), str(following), schema)
         day = following
+    return schema
+
+
+def sessions_daily_runs(spark, sf_dir):
+    schema = _daily_runs(spark, sf_dir, dataframe_jobs.build_sessions)
+    return read_table(spark, table_name(SESSIONS, schema, DATAFRAME_SUFFIX), SESSIONS)
+
+
+def session_products_daily_runs(spark, sf_dir):
+    schema = _daily_runs(spark, sf_dir, sql_jobs.build_session_products)
+    return read_table(spark, table_name(SESSION_PRODUCTS, schema), SESSION_PRODUCTS)
+
+
+def cart_abandonment_daily_runs(spark, sf_dir):
+    schema = _daily_runs(spark, sf_dir, dataframe_jobs.build_session_products)
     dataframe_jobs.build_daily_product_cart_abandonment(spark, START, END, schema)
     name = table_name(CART_ABANDONMENT, schema, DATAFRAME_SUFFIX)
     return read_table(spark, name, CART_ABANDONMENT)
@@ -198,13 +236,14 @@ def _early_then_all(spark, sf_dir):
     events, interval = clickstream_events(spark, sf_dir), interval_of(spark)
     early = events.filter(F.col("event_time") < F.lit(LATE_CUT).cast("timestamp"))
     return [
-        products.cart_abandonment(summaries.session_products(part, interval), interval)
+        _abandonment_of(summaries.session_products(part, interval), interval)
         for part in (early, events)
     ]
 
 
 def _all_then_fewer(spark, sf_dir):
-    stored, interval = session_products(spark, sf_dir), interval_of(spark)
+    interval = interval_of(spark)
+    stored = written_once(_report_columns(session_products(spark, sf_dir)), "session-products")
     gone = (F.col("product_id") == "p3") | (F.col("event_date") == "2024-01-10")
     return [products.cart_abandonment(part, interval) for part in (stored, stored.filter(~gone))]
 
@@ -227,7 +266,7 @@ def merge_outside_window(spark, sf_dir):
     append_by_name(cart_abandonment(spark, sf_dir), name, CART_ABANDONMENT)
     narrow = interval_of(spark, NARROW_START, NARROW_END)
     fewer = session_products(spark, sf_dir).filter(F.col("product_id") != "p3")
-    _merge(products.cart_abandonment(fewer, narrow), name, narrow)
+    _merge(_abandonment_of(fewer, narrow), name, narrow)
     return read_table(spark, name, CART_ABANDONMENT)
 
 
@@ -248,6 +287,19 @@ def validation_error_counts(spark, sf_dir):
     return validation_errors(spark, sf_dir).groupBy("message").agg(F.count("*").alias("events"))
 
 
+def validation_all_rules(spark, sf_dir):
+    """Events by message, with one field of each broken in turn by the event's number."""
+    events = clickstream_events(spark, sf_dir)
+    events = events.withColumn("number", F.expr("CAST(substring(event_id, 2) AS BIGINT)"))
+    turn = f"number % {len(BROKEN_FIELDS) + 1}"
+    for place, (field, value) in enumerate(BROKEN_FIELDS):
+        kind = events.schema[field].dataType.simpleString()
+        broken = F.expr(f"IF({turn} = {place}, CAST({value} AS {kind}), {field})")
+        events = events.withColumn(field, broken)
+    marked = events.select(validation_error().alias("message"))
+    return marked.groupBy("message").agg(F.count("*").alias("events"))
+
+
 def _valid(events: DataFrame) -> DataFrame:
     return events.filter(validation_error().isNull())
 
@@ -286,6 +338,15 @@ def stream_restart(spark, sf_dir):
     return read_events(spark, schema).drop("ingestion_time")
 
 
+def stream_stamped(spark, sf_dir):
+    """How many ingested events carry their arrival time."""
+    records, checkpoint = fresh_path(spark, "records"), fresh_path(spark, "stream")
+    as_records(_valid(clickstream_events(spark, sf_dir))).write.parquet(records)
+    schema = _ingestion_target(spark)
+    _ingest(spark, schema, records, checkpoint)
+    return read_events(spark, schema).agg(F.count("ingestion_time").alias("stamped_events"))
+
+
 def _routed(spark: SparkSession, sf_dir: str) -> str:
     records, checkpoint = fresh_path(spark, "records"), fresh_path(spark, "stream")
     as_records(clickstream_events(spark, sf_dir)).write.parquet(records)
@@ -320,7 +381,9 @@ def _compacted(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
         F.col("event_type").isin("checkout_start", "purchase"),
     )
     for number, rows in enumerate(loads):
-        _store_load(events.filter(rows), schema, f"load-{number}")
+        # A file per load and day, whatever the scan's tasks, so that files can be counted.
+        whole_days = events.filter(rows).repartition(F.col("event_time").cast("date"))
+        _store_load(whole_days, schema, f"load-{number}")
     return schema, compact_clickstream_events(spark, START, END, schema)
 
 
@@ -329,8 +392,18 @@ def compact_rows(spark, sf_dir):
     return read_events(spark, schema).drop("ingestion_time")
 
 
+def _file_counts(metrics: DataFrame) -> DataFrame:
+    return metrics.select("event_date", "rewritten_files", "added_files")
+
+
 def compact_metrics(spark, sf_dir):
-    return _compacted(spark, sf_dir)[1]
+    return _file_counts(_compacted(spark, sf_dir)[1])
+
+
+def compact_rerun_metrics(spark, sf_dir):
+    """A second compaction of the same table finds nothing to do."""
+    schema, _ = _compacted(spark, sf_dir)
+    return _file_counts(compact_clickstream_events(spark, START, END, schema))
 
 
 QUERIES: dict[str, Query] = {
@@ -347,6 +420,8 @@ QUERIES: dict[str, Query] = {
     "cart_abandonment": cart_abandonment,
     "cart_abandonment_sql": _sql_over_session_products(sql_text.CART_ABANDONMENT),
     "cart_abandonment_daily_runs": cart_abandonment_daily_runs,
+    "sessions_daily_runs": sessions_daily_runs,
+    "session_products_daily_runs": session_products_daily_runs,
     "subday_interval": subday_interval,
     "append_twice": _append_twice(dataframe_jobs, DATAFRAME_SUFFIX),
     "append_twice_sql": _append_twice(sql_jobs, ""),
@@ -402,12 +477,15 @@ QUERIES: dict[str, Query] = {
     "json_decode": json_decode,
     "validation_errors": validation_errors,
     "validation_error_counts": validation_error_counts,
+    "validation_all_rules": validation_all_rules,
     "stream_ingest": stream_ingest,
     "stream_restart": stream_restart,
+    "stream_stamped": stream_stamped,
     "stream_rejects": stream_rejects,
     "stream_accepted": stream_accepted,
     "compact_rows": compact_rows,
     "compact_metrics": compact_metrics,
+    "compact_rerun_metrics": compact_rerun_metrics,
 }
 
 

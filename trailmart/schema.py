@@ -23,8 +23,14 @@ EVENT_TYPES = (
     "checkout_start",
     "purchase",
 )
-PRODUCT_EVENT_TYPES = EVENT_TYPES[2:]
-CART_EVENT_TYPES = EVENT_TYPES[3:]
+PRODUCT_EVENT_TYPES = (
+    "product_view",
+    "add_to_cart",
+    "remove_from_cart",
+    "checkout_start",
+    "purchase",
+)
+CART_EVENT_TYPES = ("add_to_cart", "remove_from_cart", "checkout_start", "purchase")
 
 # The JSON document of one event, all fields nullable.
 EVENT_DDL = """
@@ -151,7 +157,13 @@ CART_ABANDONMENT = TableLayout(
     ("event_date",),
 )
 
-# Which batches each compaction run replaced; lets a rerun finish an interrupted one.
+REJECTED_EVENTS = TableLayout(
+    "retail_clickstream_rejects",
+    f"{EVENT_DDL.strip()}, validation_error STRING, ingest_batch STRING",
+    ("ingest_batch",),
+)
+
+# Each batch that a compaction run writes with those it replaces; lets a rerun finish one.
 COMPACTION_LOG = TableLayout(
     "retail_clickstream_compactions",
     "compacted_batch STRING, event_date DATE, ingest_batch STRING",

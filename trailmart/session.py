@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -31,7 +30,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = named_folder(spark) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
-            raise ValueError(f"Required Spark configuration {CHECKPOINT_DIR} is not set")
+            raise ValueError(f"Set {CHECKPOINT_DIR} to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="trailmart-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
@@ -42,6 +41,14 @@ def fresh_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after seeing that ``df`` has at most ``max_rows`` rows."""
-    return F.broadcast(df) if len(df.take(max_rows + 1)) <= max_rows else df
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path in whatever store holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def written_once(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as files in the shared folder: to be read twice, made once."""
+    path = fresh_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,14 +6,15 @@ The same projection exists as SQL for the checks in ``trailmart.registry.oracles
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trailmart.schema import CART_EVENT_TYPES
-from trailmart.session import broadcast_if_small, use_utc
+from trailmart.session import use_utc
 
 # Fixed values of the mapping.
 HALF_DAY = 43_200
 THREE_DAYS = 259_200
-FIRST_PRODUCT, LAST_PRODUCT = 1, 12
+PRODUCTS_PER_USER = 3
 DEVICES = ("desktop", "mobile", "tablet")
 BROWSERS = ("chrome", "safari", "firefox", "edge")
 TRAFFIC_SOURCES = ("direct", "search", "email", "social", "ads")
@@ -79,20 +80,17 @@ def clickstream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = raw.selectExpr(
         "*",
         f"{EVENT_TYPE} AS event_type",
-        f"user % 4 * 3 + event_number % 3 + {FIRST_PRODUCT} AS p_partkey",
+        f"user * {PRODUCTS_PER_USER} + event_number % {PRODUCTS_PER_USER} AS pick",
         f"concat(user, '-', floor((unix_timestamp(event_time) - {HALF_DAY}) / {THREE_DAYS}))"
         " AS visit",
     )
-    joined = keyed.join(_named_products(spark, sf_dir), "p_partkey", "left")
+    # Few products a user, so that carts meet purchases, spread over all of them.
+    parts = spark.read.schema(PART_DDL).parquet(f"{sf_dir}/part.parquet")
+    products = parts.agg(F.max("p_partkey") + 1).scalar()
+    keyed = keyed.withColumn("p_partkey", F.try_mod("pick", products))
+    joined = keyed.join(parts, "p_partkey", "left")
     return joined.withColumnRenamed("p_partkey", "product_key").selectExpr(*_named(FIELDS))
 
 
 def _named(expressions: dict[str, str]) -> list[str]:
     return [f"{expression} AS {name}" for name, expression in expressions.items()]
-
-
-def _named_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parts an event can name: product keys run from 1 to 12 by construction."""
-    parts = spark.read.schema(PART_DDL).parquet(f"{sf_dir}/part.parquet")
-    named = parts.filter(f"p_partkey BETWEEN {FIRST_PRODUCT} AND {LAST_PRODUCT}")
-    return broadcast_if_small(named, max_rows=1000)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from trailmart.functions.intervals import Interval
 from trailmart.schema import (
     COMPACTION_LOG,
     EVENTS,
+    REJECTED_EVENTS,
     RESULT_TABLES,
     STORED_EVENT_COLUMNS,
     TableLayout,
@@ -52,6 +54,7 @@ def create_tables(
     )
     create_table(spark, table_name(EVENTS, schema), EVENTS)
     create_table(spark, table_name(COMPACTION_LOG, schema), COMPACTION_LOG)
+    create_table(spark, table_name(REJECTED_EVENTS, schema), REJECTED_EVENTS)
     for layout in RESULT_TABLES:
         for suffix in ("", DATAFRAME_SUFFIX):
             create_table(spark, table_name(layout, schema, suffix), layout)
@@ -122,15 +125,24 @@ def store_events(events: DataFrame, name: str, batch: str) -> None:
     overwrite_partitions(stored, name)
 
 
-def partitions(spark: SparkSession, name: str, layout: TableLayout) -> DataFrame:
-    """The table's partitions as rows of text columns, from the catalog alone."""
-    listed = spark.sql(f"SHOW PARTITIONS {name}")
+def partitions(
+    spark: SparkSession, name: str, layout: TableLayout, days: Iterable[str] | None = None
+) -> DataFrame:
+    """The table's partitions as rows of text columns, from the catalog alone.
+
+    With days, only their partitions are listed, by the first column of the layout.
+    """
+    columns = layout.partitioned_by
+    specs = [""] if days is None else [f" PARTITION ({columns[0]} = '{day}')" for day in days]
+    lists = [spark.sql(f"SHOW PARTITIONS {name}{spec}") for spec in specs]
+    if not lists:
+        return spark.createDataFrame([], ", ".join(f"{column} STRING" for column in columns))
 
     def value_of(column):
         text = F.regexp_extract("partition", f"{column}=([^/]*)", 1)
         return F.nullif(text, F.lit(NULL_PARTITION)).alias(column)
 
-    return listed.select(*map(value_of, layout.partitioned_by))
+    return reduce(DataFrame.union, lists).select(*map(value_of, columns))
 
 
 def drop_partitions(
