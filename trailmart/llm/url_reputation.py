@@ -109,15 +109,18 @@ def _strength(children: DataFrame, parent: str) -> float:
     return (1 - correlation) / correlation
 
 
-def _shrunk(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
-    """Children with ``prior``, their parent's posterior mean, and ``strength``."""
+def _with_parents(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
     known = parents.select(
         parent,
         F.col("n").alias("n_parent"),
         F.col("k").alias("k_parent"),
         F.col("mean").alias("prior"),
     )
-    joined = children.join(known, parent)
+    return children.join(known, parent)
+
+
+def _shrunk(joined: DataFrame, parent: str) -> DataFrame:
+    """Children with ``strength`` and ``mean``, that of their posterior."""
     strength = _strength(joined, parent)
     mean = (F.col("k") + strength * F.col("prior")) / (F.col("n") + strength)
     return joined.withColumn("strength", F.lit(strength)).withColumn("mean", mean)
@@ -134,12 +137,14 @@ def reputations(outcomes: DataFrame) -> DataFrame:
         return rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
 
     domains = stored(summed(hosts, "domain", "suffix"), "domains")
-    suffixes = summed(domains, "suffix").withColumn("everything", F.lit(1))
-    whole = summed(suffixes, "everything")
-    share = F.coalesce(F.try_divide(F.col("k"), F.col("n")), F.lit(0.0))
-    suffixes = _shrunk(suffixes, whole.withColumn("mean", share), "everything")
-    domains = _shrunk(domains, suffixes, "suffix")
-    hosts = _shrunk(hosts, domains.drop("suffix"), "domain")
+    whole = domains.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).head()
+    n, k = whole["n"] or 0, whole["k"] or 0
+    parent = {"everything": 1, "n_parent": max(n, 1), "k_parent": k, "prior": k / max(n, 1)}
+    suffixes = summed(domains, "suffix")
+    suffixes = suffixes.withColumns({name: F.lit(value) for name, value in parent.items()})
+    suffixes = _shrunk(suffixes, "everything")
+    domains = _shrunk(_with_parents(domains, suffixes, "suffix"), "suffix")
+    hosts = _shrunk(_with_parents(hosts, domains, "domain"), "domain")
     a = F.col("k") + F.col("strength") * F.col("prior")
     b = F.col("n") - F.col("k") + F.col("strength") * (1 - F.col("prior"))
     deviation = F.sqrt(a * b / (a + b + 1)) / (a + b)
