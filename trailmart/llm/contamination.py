@@ -31,7 +31,7 @@ from trailmart.llm.common import ready, stored
 
 WINDOW_WORDS, CONTAMINATED_PERCENT = 13, 5
 #: Postings and documents of a shard, and words of a block of test items.
-SHARD_POSTINGS, SHARD_DOCUMENTS, BLOCK_WORDS = 1_000_000, 20_000, 500_000
+SHARD_POSTINGS, SHARD_DOCUMENTS, BLOCK_WORDS = 400_000, 20_000, 500_000
 #: Lower-cases ASCII letters and turns what separates words into spaces.
 FOLD = bytes(
     b | 0x20 if 0x41 <= b <= 0x5A else b if b > 0x7F or chr(b).isalnum() else 0x20
