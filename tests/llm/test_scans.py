@@ -59,7 +59,7 @@ def test_contamination(documents, items, monkeypatch, block_words, shard_posting
     assert as_rows(found) == sorted(map(repr, want))
 
 
-def test_contamination_of_messy_tables(messy, items):
+def test_contamination_of_messy_tables(messy, items, monkeypatch):
     given = items("a plain text", "x" * 50_000, "of the tionble of")
     rows = [tuple(r) for r in messy.select("doc_id", "text").collect()]
     found = contamination.contamination(messy, given)
@@ -67,9 +67,11 @@ def test_contamination_of_messy_tables(messy, items):
     assert as_rows(found) == sorted(map(repr, want))
     assert contamination.contamination(messy.limit(0), given).collect() == []
     assert not contamination.contamination(messy, given.limit(0)).filter("n_hit > 0").collect()
-    kept = contamination.clean(messy, given)
-    assert kept.columns == messy.columns
-    assert kept.count() == sum(not bad for *_, bad in want)
+    for broadcast_rows in (0, 1_000_000):
+        monkeypatch.setattr(contamination, "BROADCAST_ROWS", broadcast_rows)
+        kept = contamination.clean(messy, given)
+        assert kept.columns == messy.columns
+        assert kept.count() == sum(not bad for *_, bad in want)
 
 
 def test_an_item_without_id_marks_words_only(spark, documents):

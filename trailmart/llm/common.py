@@ -43,6 +43,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_side(df: DataFrame, purpose: str, max_rows: int) -> DataFrame:
+    """A side of a join, stored; with a broadcast hint if it has at most ``max_rows`` rows.
+
+    Larger ones are left to a shuffled join. The rows are counted first, up to the bound.
+    """
+    side = stored(df, purpose)
+    small = side.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(side) if small else side
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document's id puts it in the fold that no model learns from."""
     fold = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS

@@ -27,11 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmart.llm.byte_bpe import Numbering, places_in_runs
-from trailmart.llm.common import ready, stored
+from trailmart.llm.common import ready, stored, stored_side
 
 WINDOW_WORDS, CONTAMINATED_PERCENT = 13, 5
 #: Postings and documents of a shard, and words of a block of test items.
 SHARD_POSTINGS, SHARD_DOCUMENTS, BLOCK_WORDS = 400_000, 20_000, 500_000
+#: Most contaminated documents whose names are broadcast; 16 bytes each.
+BROADCAST_ROWS = 1_000_000
 #: Lower-cases ASCII letters and turns what separates words into spaces.
 FOLD = bytes(
     b | 0x20 if 0x41 <= b <= 0x5A else b if b > 0x7F or chr(b).isalnum() else 0x20
@@ -303,10 +305,12 @@ def _summed(index: DataFrame, found: DataFrame) -> DataFrame:
 def clean(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their own columns.
 
-    A row is named by the hash of its id and text; no column may have this name.
+    A row is named by the hash of its id and text; no column may have this name. The
+    documents are shuffled only if too many of them are contaminated for a broadcast.
     """
     name = "_contamination_row"
     named = documents.withColumn(name, F.xxhash64("doc_id", "text"))
     judged = contamination(named.select(F.col(name).alias("doc_id"), "text"), items)
     bad = judged.filter("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    bad = stored_side(bad, "contaminated", BROADCAST_ROWS)
     return named.join(bad, name, "left_anti").drop(name)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmart.llm.common import ready, stored
+from trailmart.llm.common import ready, stored, stored_side
 from trailmart.session import fresh_path
 
 RECORDS_PER_FILE, READ_BYTES = 12_000, 4 << 20
@@ -73,9 +73,7 @@ def with_types(pages: DataFrame, min_bytes: int) -> DataFrame:
             F.col("first.url").alias("first_url"),
         )
     )
-    repeats = stored(repeats, "repeats")
-    small = repeats.limit(BROADCAST_PAYLOADS + 1).count() <= BROADCAST_PAYLOADS
-    side = F.broadcast(repeats) if small else repeats
+    side = stored_side(repeats, "repeats", BROADCAST_PAYLOADS)
     later = ~F.col("page_id").eqNullSafe(F.col("first_page"))
     same = (F.col("digest") == F.col("repeated")) & long_enough & later
     return rows.join(side, same, "left")
