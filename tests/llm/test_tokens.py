@@ -61,6 +61,14 @@ def test_byte_bpe_of_long_runs(codec, reference, text):
     assert np.frombuffer(codec.encode([text])[0], "<u4").tolist() == reference.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("size", [1, 7, 30])
+def test_byte_bpe_in_several_queries(codec, reference, monkeypatch, size):
+    monkeypatch.setattr(byte_bpe, "QUERY_BYTES", size)
+    text = f"some new{size} words, each in{size} a query or with others " + "y" * 100 * size
+    ids = np.frombuffer(codec.encode([text, "", text[::-1]])[0], "<u4").tolist()
+    assert ids == reference.encode_ordinary(text)
+
+
 def test_byte_bpe_forgets_words_beyond_its_bound(codec, reference, monkeypatch):
     monkeypatch.setattr(byte_bpe, "REMEMBERED", 3)
     for text in ("one two three four five", "six seven one two", ""):

@@ -32,6 +32,8 @@ from trailmart.llm.common import buffered, ready
 #: Texts encoded by one query, in bytes, and words a worker remembers.
 BUFFER_BYTES = 6 << 20
 REMEMBERED = 500_000
+#: Bytes of words that one query merges; what exceeds DuckDB's memory spills beside the worker.
+QUERY_BYTES = 4 << 20
 #: Bytes of a word from which pairs of equal rank are contracted together.
 LONG_WORD = 64
 DUCKDB_MEMORY = "200MB"
@@ -185,7 +187,18 @@ class Codec:
         return _gather(self.word_ids, starts, ends), before[last_words]
 
     def _merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All words' ids one after the other, and where each word's end."""
+        """All words' ids one after the other, and where each word's end.
+
+        A query gets at most ``QUERY_BYTES``, or one longer word.
+        """
+        upto = np.cumsum([len(word) for word in words], dtype=np.int64)
+        cuts = np.flatnonzero(np.diff(upto // QUERY_BYTES, prepend=0, append=-1)).tolist()
+        parts = [self._merge_part(words[a:b]) for a, b in itertools.pairwise([0, *cuts]) if a < b]
+        shifts = np.cumsum([0, *(len(ids) for ids, _ in parts)])
+        ends = [shift + ends for shift, (_, ends) in zip(shifts, parts)]
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate(ends)
+
+    def _merge_part(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         lengths = np.array([len(word) for word in words], dtype=np.int64)
         letters = self.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
         of_word, place = np.repeat(np.arange(len(words)), lengths), places_in_runs(lengths)
