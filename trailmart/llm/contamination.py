@@ -31,7 +31,7 @@ from trailmart.llm.common import ready, stored, stored_side
 
 WINDOW_WORDS, CONTAMINATED_PERCENT = 13, 5
 #: Postings and documents of a shard, and words of a block of test items.
-SHARD_POSTINGS, SHARD_DOCUMENTS, BLOCK_WORDS = 400_000, 20_000, 500_000
+SHARD_POSTINGS, SHARD_DOCUMENTS, BLOCK_WORDS = 600_000, 20_000, 500_000
 #: Most contaminated documents whose names are broadcast; 16 bytes each.
 BROADCAST_ROWS = 1_000_000
 #: Lower-cases ASCII letters and turns what separates words into spaces.
@@ -41,7 +41,7 @@ FOLD = bytes(
 )
 INDEX = """
     shard string, doc_ids array<bigint>, n_words array<int>, terms array<binary>,
-    ends array<int>, documents array<int>, positions array<int>
+    counts array<int>, documents array<int>, positions array<int>
 """
 MATCHES = """
     shard string, document int, item_id bigint, first int, after int
@@ -124,9 +124,9 @@ class _Shard:
         found, places = np.concatenate(self.found), places_in_runs(n_words).astype(np.int32)
         documents = np.repeat(np.arange(len(n_words)), n_words)
         order = np.argsort(found, kind="stable")
-        ends = np.cumsum(np.bincount(found, minlength=len(self.terms)))
+        counts = np.bincount(found, minlength=len(self.terms))
         values = (
-            uuid.uuid4().hex, self.doc_ids, n_words, list(self.terms), ends,
+            uuid.uuid4().hex, self.doc_ids, n_words, list(self.terms), counts,
             documents[order].astype(np.int32), places[order],
         )
         kinds = (
@@ -140,10 +140,8 @@ class _Shard:
 
 def term_counts(index: DataFrame) -> DataFrame:
     """(term, postings) over all shards."""
-    lists = index.selectExpr(
-        "inline(arrays_zip(terms, ends, transform(ends, (e, i) -> IF(i = 0, 0, ends[i - 1]))))"
-    ).toDF("term", "ends", "starts")
-    return lists.groupBy("term").agg(F.sum(F.col("ends") - F.col("starts")).alias("postings"))
+    lists = index.selectExpr("inline(arrays_zip(terms, counts))").toDF("term", "postings")
+    return lists.groupBy("term").agg(F.sum("postings").alias("postings"))
 
 
 def matches(index: DataFrame, block: Phrases, slack: int | None = None) -> DataFrame:
@@ -169,7 +167,7 @@ def matches(index: DataFrame, block: Phrases, slack: int | None = None) -> DataF
                     found += shard.search(matrix, items, rarity, slack)
                 yield _spans(shard.name, found)
 
-    columns = ["shard", "terms", "ends", "documents", "positions"]
+    columns = ["shard", "terms", "counts", "documents", "positions"]
     return index.select(*columns).mapInArrow(search, MATCHES)
 
 
@@ -194,11 +192,11 @@ class _Postings:
     """One shard's lists, by the term numbers of a block."""
 
     def __init__(self, row: pa.RecordBatch, terms: dict[bytes, int]) -> None:
-        flat = {name: row[name].flatten() for name in ("terms", "ends", "documents", "positions")}
+        flat = {name: row[name].flatten() for name in ("terms", "counts", "documents", "positions")}
         self.name = row["shard"][0].as_py()
         place = flat["documents"].to_numpy().astype(np.int64) << 32
         place += flat["positions"].to_numpy()
-        ends = flat["ends"].to_numpy()
+        ends = np.cumsum(flat["counts"].to_numpy())
         self.lists = [place[:0]] * len(terms)
         for term, start, end in zip(flat["terms"].to_pylist(), [0, *ends[:-1]], ends):
             if term in terms:
