@@ -16,7 +16,7 @@ Repeated rows keep their row each. A class of which no document has an id has a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -214,13 +214,17 @@ def _checksum(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(mixed)).head())
 
 
-def classes(marked: DataFrame) -> DataFrame:
+def classes(
+    marked: DataFrame, linked_by: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """(fp, root, component_id) for each distinct fingerprint of (doc_id, fp) rows.
 
     ``root`` names a class by a fingerprint, ``component_id`` by its smallest document id.
+    ``linked_by`` makes other links than those of SimHash from the rows.
     """
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    linked = stars(links(distinct.select("fp"))).toDF("fp", "root")
+    edges = linked_by(marked) if linked_by else links(distinct.select("fp"))
+    linked = stars(edges).toDF("fp", "root")
     rooted = distinct.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return rooted.join(least, "root").select("fp", "root", "component_id")
@@ -237,7 +241,11 @@ def fingerprint_text(fp: str) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
+def one_of_each(
+    documents: DataFrame,
+    marked_by: Callable[[DataFrame, list[str]], DataFrame] = with_fingerprints,
+    linked_by: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """The documents with one row kept of each class of near duplicates.
 
     The row of the smallest id (a null id comes last), then of the smallest hash of its
@@ -247,8 +255,9 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     named = documents.withColumns(
         {name[0]: F.xxhash64("doc_id"), name[1]: F.xxhash64(F.coalesce("text", F.lit("")))}
     )
-    marked = stored(with_fingerprints(named, ["doc_id", *name]), "fingerprints")
-    grouped = marked.join(classes(marked).select("fp", "root"), "fp")
+    marked = stored(marked_by(named, ["doc_id", *name]), "fingerprints")
+    rooted = classes(marked, linked_by).select("fp", "root")
+    grouped = marked.select("doc_id", *name, "fp").join(rooted, "fp")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *name))
     kept = grouped.groupBy("root").agg(first.alias("first"))
     kept = kept.select(*[F.col(f"first.{part}").alias(part) for part in name])
