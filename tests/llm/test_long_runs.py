@@ -1,0 +1,29 @@
+"""Memory of token counts of long unbroken texts."""
+
+from __future__ import annotations
+
+import tracemalloc
+
+from trailmart.llm import token_counts
+
+
+class Lengths(dict):
+    def __missing__(self, run):
+        return len(run)
+
+
+def test_memory_is_linear_in_an_unbroken_text():
+    text = "x" * (200 * token_counts.CHUNK + 1)
+    tracemalloc.start()
+    try:
+        assert token_counts.tokens_of(text, Lengths()) == len(text)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8 * len(text)
+
+
+def test_runs_across_chunks_are_counted_once():
+    words = ["ab", "x" * (3 * token_counts.CHUNK), "c", "y" * (token_counts.CHUNK + 7), "d"]
+    for text in (" ".join(words), f" {words[1]} ", words[1] + words[3]):
+        assert token_counts.tokens_of(text, Lengths()) == sum(map(len, text.split()))
