@@ -11,13 +11,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trailmart.llm import (
-    byte_bpe,
-    contamination,
-    line_quality,
-    quality_classifier,
-    shingle_overlap,
-)
+from trailmart.llm import byte_bpe, contamination, line_quality, quality_classifier, simhash
 from trailmart.llm.common import stored, table
 from trailmart.llm.queries import BYTE_BPE
 
@@ -35,8 +29,8 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each class of near duplicates."""
-    return shingle_overlap.one_of_each(docs)
+    """Keep one document of each class that SimHash links: three words, two bits at most."""
+    return simhash.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
