@@ -249,11 +249,20 @@ def one_of_each(
     """The documents with one row kept of each class of near duplicates.
 
     The row of the smallest id (a null id comes last), then of the smallest hash of its
-    text; of rows that are equal in both, one, as they hold the same text.
+    text, then of all its columns; of rows that are equal in every column, one.
     """
-    name = ["_simhash_row_id", "_simhash_row_text"]
+    taken, name = set(documents.columns), []
+    for part in ("row_id", "row_text", "row_all"):
+        while part in taken:
+            part = f"_{part}"
+        name.append(part)
+        taken.add(part)
     named = documents.withColumns(
-        {name[0]: F.xxhash64("doc_id"), name[1]: F.xxhash64(F.coalesce("text", F.lit("")))}
+        {
+            name[0]: F.xxhash64("doc_id"),
+            name[1]: F.xxhash64(F.coalesce("text", F.lit(""))),
+            name[2]: F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in documents.columns]),
+        }
     )
     marked = stored(marked_by(named, ["doc_id", *name]), "fingerprints")
     rooted = classes(marked, linked_by).select("fp", "root")
