@@ -1,0 +1,158 @@
+"""Near duplicates by min-max hashing, against brute force over all pairs."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from trailmart.llm import minmax_hash, queries
+
+
+def brute_set(text, size):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[n : n + size]) for n in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def brute_links(texts, size, percent):
+    """The pairs of positions that are linked."""
+    sets = [brute_set(text, size) for text in texts]
+    return [
+        (n, m)
+        for n, one in enumerate(sets)
+        for m, other in enumerate(sets[:n])
+        if one and 100 * len(one & other) >= percent * len(one | other)
+    ]
+
+
+def brute_roots(texts, size, percent):
+    root = list(range(len(texts)))
+    for n, m in brute_links(texts, size, percent):
+        if root[n] != root[m]:
+            low, high = sorted((root[n], root[m]))
+            root = [low if r == high else r for r in root]
+    return root
+
+
+def near_texts(seed, copies=12):
+    chance = random.Random(seed)
+    vocabulary = [f"w{n}" for n in range(400)]
+    line = " ".join(vocabulary[:13])
+    texts = [None, "", " \n", "one two", "One  TWO", "one two three", line, line, line.upper()]
+    for _ in range(12):
+        words = chance.choices(vocabulary, k=chance.randint(5, 150))
+        for _ in range(copies):
+            copy = [*words, *line.split()] if chance.random() < 0.7 else list(words)
+            for _ in range(chance.randint(0, 4)):
+                copy[chance.randrange(len(copy))] = chance.choice(vocabulary)
+            texts.append(" ".join(copy[chance.randint(0, 3) :]))
+    return texts
+
+
+@pytest.mark.parametrize(
+    "size, percent, vertices", [(3, 85, 64), (3, 85, 2), (5, 80, 64), (5, 80, 3), (2, 50, 4)]
+)
+def test_no_link_is_lost(documents, monkeypatch, size, percent, vertices):
+    monkeypatch.setattr(minmax_hash, "CELL_VERTICES", vertices)
+    texts = near_texts(size * vertices)
+    found = minmax_hash.near_duplicates(documents(*texts).repartition(3), size, percent)
+    roots = brute_roots(texts, size, percent)
+    assert sorted(map(tuple, found.collect())) == [
+        (n, len(brute_set(text, size)), root, n == root)
+        for n, (text, root) in enumerate(zip(texts, roots))
+    ]
+
+
+def test_shingles_that_merely_share_words_are_not_linked(documents):
+    texts = ["a b c d e f g h i j", "j i h g f e d c b a", "a b c d e f g h i j k"]
+    found = minmax_hash.near_duplicates(documents(*texts), 3, 85).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in found] == [0, 1, 0]
+
+
+def test_exactly_the_limit_is_linked(documents):
+    words = [f"w{n}" for n in range(22)]
+    at = [" ".join(words[:19]), " ".join([*words[:19], *"xyz"])]
+    sets = [brute_set(text, 3) for text in at]
+    assert 100 * len(sets[0] & sets[1]) == 85 * len(sets[0] | sets[1])
+    below = [" ".join(words[:18]), " ".join([*words[:18], *"xyz"])]
+    found = minmax_hash.near_duplicates(documents(*at, *below[1:]), 3, 85).orderBy("doc_id")
+    assert [r["component_id"] for r in found.collect()] == brute_roots([*at, *below[1:]], 3, 85)
+
+
+def test_signatures_estimate_without_bias_and_with_less_variance():
+    chance, errors, plain = np.random.default_rng(7), [], []
+    for _ in range(200):
+        hashes = np.unique(chance.integers(0, 1 << 64, size=120, dtype=np.uint64))
+        sets = [np.sort(hashes[:100]), np.sort(hashes[20:])]
+        least, greatest = minmax_hash.signatures(sets, 64)
+        exact = 80 / len(hashes)
+        errors.append(minmax_hash.estimated(*((a, b) for a, b in zip(least, greatest))) - exact)
+        plain.append(np.mean(least[0] == least[1]) - exact)
+    assert abs(np.mean(errors)) < 0.01
+    assert np.var(errors) < 0.6 * np.var(plain)
+
+
+def test_bands_suffice_for_the_stated_probability():
+    for percent in (50, 80, 85, 95):
+        missed = (1 - (percent / 100) ** minmax_hash.BAND_VALUES) ** (
+            2 * minmax_hash.band_pairs(percent)
+        )
+        assert missed <= minmax_hash.MISSED
+
+
+def test_classes_that_are_one_meet_in_no_cell(spark):
+    rows = [(k, n, 7, 10) for k in (1, 2) for n in range(300)]
+    rows += [(3, n, n % 2, 10) for n in range(200)] + [(4, n, n % 2, 10) for n in range(200)]
+    rows += [(5, n, 7 if n < 1_000 else n, 10) for n in range(1_003)]
+    members = spark.createDataFrame(rows, "key bigint, node bigint, class bigint, n_shingles bigint")
+    met = minmax_hash.cells(members).toPandas()
+    assert set(met["key"]) == {3, 5}, "settled buckets, and all but one of equal ones, are left out"
+    assert met.groupby(["key", "with_main", "x", "y"]).size().max() < 250
+    for key, group in met.groupby("key"):
+        class_of = dict(zip(group["node"], group["class"]))
+        pairs = {
+            (a, b)
+            for _, cell in group.groupby(["with_main", "x", "y"])
+            for a in cell["node"]
+            for b in cell["node"]
+            if class_of[a] < class_of[b]
+        }
+        expected = sum(x < y for x in class_of.values() for y in class_of.values())
+        assert len(pairs) == expected
+    assert len(met[met["key"] == 5]) < 1_200, "a class of a thousand is sent once for three others"
+
+
+def test_messy_tables(messy):
+    found = minmax_hash.near_duplicates(messy, 3, 85)
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    rows = found.collect()
+    assert len(rows) == messy.count()
+    by_id = {(r["doc_id"], r["n_shingles"]): r for r in rows}
+    assert by_id[6, 1]["component_id"] == 0 and not by_id[6, 1]["kept"]
+    assert by_id[2, 0]["component_id"] == 2 and by_id[2, 0]["kept"]
+    nameless = [r for r in rows if r["doc_id"] is None]
+    assert [(r["n_shingles"], r["component_id"], r["kept"]) for r in sorted(nameless, key=str)] == [
+        (0, None, True), (1, None, True)
+    ]
+    assert minmax_hash.near_duplicates(messy.limit(0)).collect() == []
+    assert minmax_hash.near_duplicates(messy.filter("text = ''")).count() == 1
+
+
+def test_many_equal_texts_are_one_vertex(spark):
+    same = spark.range(3_000).select(F.col("id").alias("doc_id"), F.lit("a b c d e f").alias("text"))
+    found = minmax_hash.near_duplicates(same, 3, 85)
+    assert found.filter("component_id = 0").count() == 3_000
+    assert found.filter("kept").count() == 1
+
+
+def test_query_over_a_whole_table(spark):
+    found = queries.op11_minmax(spark, "/root/testdata/sf0.001").orderBy("doc_id").collect()
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
+    texts, ids = [r["text"] for r in rows], [r["doc_id"] for r in rows]
+    roots = brute_roots(texts, 3, 85)
+    assert [r["component_id"] for r in found] == [ids[root] for root in roots]
+    assert [r["doc_id"] for r in found if r["kept"]] == [
+        ids[n] for n, root in enumerate(roots) if root == n
+    ]

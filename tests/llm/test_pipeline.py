@@ -64,6 +64,6 @@ def test_run_equals_its_stages(spark, stages):
     assert sorted(corpus_pipeline.run(spark, TABLES).collect()) == sorted(stages[-1])
 
 
-@pytest.mark.parametrize("name", ["op7_url_reputation", "op9_license_scan"])
+@pytest.mark.parametrize("name", ["op7_url_reputation", "op9_license_scan", "op11_minmax"])
 def test_oracles(spark, name):
     assert check(spark, TABLES, [name]) == {name: None}

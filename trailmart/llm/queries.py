@@ -12,6 +12,7 @@ from trailmart.llm import (
     contamination,
     license_scan,
     line_quality,
+    minmax_hash,
     quality_classifier,
     simhash,
     token_counts,
@@ -28,6 +29,7 @@ URL_RULES = (
     url_reputation.Rule("block", "example.com", "/de/"),
     url_reputation.Rule("allow", "org", "/fr/"),
 )
+MINMAX_WORDS, MINMAX_PERCENT = 3, 85
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -88,6 +90,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_hash.near_duplicates(
+        table(spark, sf_dir, "documents"), MINMAX_WORDS, MINMAX_PERCENT
+    )
+
+
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judged(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -107,8 +115,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op11_minmax": op11_minmax,
 }
 ORACLES: dict[str, str] = {
     "op7_url_reputation": url_reputation.oracle(URL_RULES),
     "op9_license_scan": license_scan.oracle(),
+    "op11_minmax": minmax_hash.oracle(MINMAX_WORDS, MINMAX_PERCENT),
 }
