@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trailmart.llm import (
     byte_bpe,
+    collocations,
     contamination,
     license_scan,
     line_quality,
@@ -96,6 +97,10 @@ def op11_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judged(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -116,9 +121,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
     "op11_minmax": op11_minmax,
+    "op12_collocations": op12_collocations,
 }
 ORACLES: dict[str, str] = {
     "op7_url_reputation": url_reputation.oracle(URL_RULES),
     "op9_license_scan": license_scan.oracle(),
+    "op12_collocations": collocations.oracle(),
     "op11_minmax": minmax_hash.oracle(MINMAX_WORDS, MINMAX_PERCENT),
 }
