@@ -17,7 +17,7 @@ TABLES = "/root/testdata/sf0.001"
 
 def test_each_operator_and_the_pipeline_are_registered():
     names = driver.queries()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in names) == 1
     assert "pipeline" in names
 
@@ -64,6 +64,6 @@ def test_run_equals_its_stages(spark, stages):
     assert sorted(corpus_pipeline.run(spark, TABLES).collect()) == sorted(stages[-1])
 
 
-@pytest.mark.parametrize("name", ["op7_url_reputation", "op9_license_scan", "op11_minmax"])
+@pytest.mark.parametrize("name", ["op7_url_reputation", "op9_license_scan", "op11_minmax", "op12_collocations"])
 def test_oracles(spark, name):
     assert check(spark, TABLES, [name]) == {name: None}

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trailmart.llm import (
     byte_bpe,
     collocations,
     contamination,
+    hard_negatives,
     license_scan,
     line_quality,
     minmax_hash,
@@ -31,6 +33,7 @@ URL_RULES = (
     url_reputation.Rule("allow", "org", "/fr/"),
 )
 MINMAX_WORDS, MINMAX_PERCENT = 3, 85
+FINENESS, ANCHOR_STEP, PER_ANCHOR, SCORE_WINDOW = 256, 100, (5, 10), (30, 90)
 BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -101,6 +104,18 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of ids divisible by 7 the label is the next one; anchors are ids divisible by 100."""
+    given = table(spark, sf_dir, "embeddings").filter(hard_negatives.complete("embedding"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = given.select(
+        "vec_id", moved.alias("label"), hard_negatives.integers("embedding", FINENESS).alias("q")
+    )
+    return hard_negatives.mined(
+        vectors, F.col("vec_id") % ANCHOR_STEP == 0, PER_ANCHOR, SCORE_WINDOW
+    )
+
+
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judged(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -122,10 +137,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_minmax": op11_minmax,
     "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES: dict[str, str] = {
     "op7_url_reputation": url_reputation.oracle(URL_RULES),
     "op9_license_scan": license_scan.oracle(),
-    "op12_collocations": collocations.oracle(),
     "op11_minmax": minmax_hash.oracle(MINMAX_WORDS, MINMAX_PERCENT),
+    "op12_collocations": collocations.oracle(),
+    "op13_hard_negatives": hard_negatives.oracle(
+        ANCHOR_STEP, FINENESS, PER_ANCHOR, SCORE_WINDOW
+    ),
 }
