@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from datetime import date
 from itertools import groupby
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,14 +167,14 @@ def packed(files: list[tuple[str, int]], target: int) -> list[list[tuple[str, in
 def batch_files(spark: SparkSession, interval: Interval, schema: str) -> DataFrame:
     """(event_date, ingest_batch, path, length) of batches that hold events of the interval.
 
-    On days that lie wholly in the interval the partition decides; events are read only for
-    the first and last day, where they are cut. Files are listed, not read.
+    On days that lie wholly in the interval the partition decides, on the first and last day,
+    where they are cut, the least and greatest event time of the batch's files. Files are
+    listed and their footers read, events are not.
     """
     table = table_name(EVENTS, schema)
-    days = interval.days(spark)
-    stored = partitions(spark, table, EVENTS, days)
+    stored = partitions(spark, table, EVENTS, interval.days(spark))
     there = stored.select("event_date").distinct()
-    found = sorted(row.event_date for row in there.collect())
+    found = there.withColumn("whole", interval.holds_day("event_date")).collect()
     location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
     location = location.first().data_type.rstrip("/")
     if not found:
@@ -182,15 +184,11 @@ def batch_files(spark: SparkSession, interval: Interval, schema: str) -> DataFra
         .schema(f"path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY, {KEYS}")
         .option("basePath", location)
         .option("pathGlobFilter", "*.parquet")
-        .load([f"{location}/event_date={day}" for day in found])
+        .load([f"{location}/event_date={row.event_date}" for row in found])
         .select("event_date", "ingest_batch", "path", "length")
     )
-    events = spark.table(table).filter(F.col("event_date").isin(days[:1] + days[-1:]))
-    touched = (
-        events.filter(interval.has_time("event_time") & ~interval.holds_day("event_date"))
-        .select("event_date", "ingest_batch")
-        .distinct()
-    )
+    cut = sorted(row.event_date for row in found if not row.whole)
+    touched = spark.createDataFrame(_touched(spark, location, cut, interval), KEYS)
     whole = files.select("event_date", "ingest_batch").filter(interval.holds_day("event_date"))
     taken = whole.union(touched).distinct()
     spared = _repeatable_batches(stored)
@@ -199,6 +197,54 @@ def batch_files(spark: SparkSession, interval: Interval, schema: str) -> DataFra
     )
 
 
+def time_ranges(spark: SparkSession, location: str, days: list[str]) -> DataFrame:
+    """(event_date, ingest_batch, least, greatest): event times in microseconds, from footers.
+
+    Spark's pushed-down aggregates know integers, not timestamps, and find a column by its
+    place, so the times are read as the integers they are stored as, in their place.
+    """
+    footers = spark.newSession()
+    footers.conf.set("spark.sql.sources.useV1SourceList", "")
+    footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    files = (
+        footers.read.schema(f"event_id STRING, event_time BIGINT, {KEYS}")
+        .option("basePath", location)
+        .parquet(*[f"{location}/event_date={day}" for day in days])
+    )
+    return files.groupBy("event_date", "ingest_batch").agg(
+        F.min("event_time").alias("least"), F.max("event_time").alias("greatest")
+    )
+
+
+def _read_time_ranges(spark: SparkSession, location: str, days: list[str]) -> DataFrame:
+    """The same by reading the times, for files that were stored without statistics."""
+    files = (
+        spark.read.schema(f"event_time TIMESTAMP, {KEYS}")
+        .option("basePath", location)
+        .parquet(*[f"{location}/event_date={day}" for day in days])
+    )
+    micros = files.select("event_date", "ingest_batch", F.unix_micros("event_time").alias("time"))
+    return micros.groupBy("event_date", "ingest_batch").agg(
+        F.min("time").alias("least"), F.max("time").alias("greatest")
+    )
+
+
+def _touched(spark: SparkSession, location: str, days: list[str], interval: Interval) -> list:
+    """(event_date, ingest_batch) of the days' batches whose time range meets the interval."""
+    if not days:
+        return []
+
+    def meeting(ranges: DataFrame) -> list:
+        last, first = F.unix_micros(interval.end_time), F.unix_micros(interval.start_time)
+        met = ranges.filter((F.col("least") < last) & (F.col("greatest") >= first))
+        return [tuple(row) for row in met.select("event_date", "ingest_batch").collect()]
+
+    try:
+        return meeting(time_ranges(spark, location, days))
+    except (PySparkException, Py4JJavaError):
+        return meeting(_read_time_ranges(spark, location, days))
+
+
 def finish_interrupted(
     spark: SparkSession, schema: str = DEFAULT_SCHEMA, interval: Interval | None = None
 ) -> None:
@@ -269,11 +315,9 @@ def _packing_session(spark: SparkSession, target_file_bytes: int) -> SparkSessio
 
 def _compact_day(spark: SparkSession, table: str, run: str, plan: DayPlan) -> None:
     stored = spark.table(table).filter(F.col("event_date") == F.lit(plan.day).cast("date"))
-    # The scan's paths are escaped like the listed ones.
-    in_tail = F.col("_metadata.file_path").isin(*plan.tail)
-    batch = F.when(in_tail, run + TAIL).otherwise(run)
-    rewritten = stored.filter(F.col("ingest_batch").isin(*plan.batches)).withColumn(
-        "ingest_batch", batch
+    chosen = stored.filter(F.col("ingest_batch").isin(*plan.batches))
+    rewritten = _named_outputs(chosen, run, plan).sortWithinPartitions(
+        *EVENTS.partitioned_by, "event_time"
     )
     overwrite_partitions(rewritten, table)
     drop_partitions(
@@ -281,6 +325,23 @@ def _compact_day(spark: SparkSession, table: str, run: str, plan: DayPlan) -> No
     )
 
 
+def _named_outputs(events: DataFrame, run: str, plan: DayPlan) -> DataFrame:
+    """The events under the batch that their file goes to.
+
+    Paths are joined rather than written into the plan, as a bin may hold very many small
+    files; the join is a broadcast, for a shuffle would undo the scan's packing, and the paths
+    are one bin's of those that the driver has listed.
+    """
+    if not plan.fills or not plan.tail:
+        return events.withColumn("ingest_batch", F.lit(run if plan.fills else run + TAIL))
+    # The scan's paths are escaped like the listed ones.
+    tail = events.sparkSession.createDataFrame([(path,) for path in plan.tail], "tail_path STRING")
+    at = events.withColumn("scanned_path", F.col("_metadata.file_path"))
+    joined = at.join(F.broadcast(tail), F.col("scanned_path") == F.col("tail_path"), "left")
+    batch = F.when(F.col("tail_path").isNotNull(), run + TAIL).otherwise(run)
+    return joined.withColumn("ingest_batch", batch).drop("tail_path", "scanned_path")
+
+
 def _metrics(spark: SparkSession, schema: str, run: str, plans: list[DayPlan]) -> DataFrame:
     table = table_name(EVENTS, schema)
     before = spark.createDataFrame(

@@ -17,10 +17,13 @@ from trailmart.schema import (
     STORED_EVENT_COLUMNS,
     TableLayout,
 )
+from trailmart.session import with_time_statistics
 
 DEFAULT_SCHEMA = "retail"
 # DataFrame jobs keep their results, and the intermediate they read, in tables of their own.
 DATAFRAME_SUFFIX = "_df"
+# Beyond so many days the catalog is asked once rather than for each.
+LISTED_DAYS = 50
 # How a catalog names the partition of a null value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -79,14 +82,14 @@ def append_by_name(df: DataFrame, name: str, layout: TableLayout) -> None:
     """Append rows; columns meet the table's by name and must be the same set."""
     if set(df.columns) != set(layout.columns) or len(df.columns) != len(layout.columns):
         raise ValueError(f"Columns of {name} are {layout.columns}, got {tuple(df.columns)}")
-    stored_order = df.sparkSession.table(name).columns
+    stored_order = with_time_statistics(df.sparkSession).table(name).columns
     together(df, layout.partitioned_by).select(*stored_order).write.insertInto(name)
 
 
 def append_by_position(df: DataFrame, name: str, layout: TableLayout) -> None:
     """Append rows; columns meet the table's declared ones by position."""
     day = [df.columns[layout.columns.index(c)] for c in layout.partitioned_by]
-    df.sparkSession.sql(
+    with_time_statistics(df.sparkSession).sql(
         f"INSERT INTO {name} ({', '.join(layout.columns)}) SELECT * FROM {{rows}}",
         rows=together(df, day),
     )
@@ -108,21 +111,22 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
     Spark writes next to the table and moves whole partitions in at the end, so
     ``df`` may read the same table, and doing it again gives the same result.
     """
-    stored_order = df.sparkSession.table(name).columns
+    stored_order = with_time_statistics(df.sparkSession).table(name).columns
     df.select(*stored_order).write.insertInto(name, overwrite=True)
 
 
 def store_events(events: DataFrame, name: str, batch: str) -> None:
     """Store one batch of events. Storing the batch again replaces it.
 
-    There is no shuffle: every task writes the days it holds, as its own files.
+    There is no shuffle: every task writes the days it holds, as its own files, each in the
+    order of its event times, so that a part of a day is found by the files' statistics.
     """
     stored = events.select(
         *STORED_EVENT_COLUMNS,
         F.col("event_time").cast("date").alias("event_date"),
         F.lit(batch).alias("ingest_batch"),
     )
-    overwrite_partitions(stored, name)
+    overwrite_partitions(stored.sortWithinPartitions(*EVENTS.partitioned_by, "event_time"), name)
 
 
 def partitions(
@@ -130,10 +134,13 @@ def partitions(
 ) -> DataFrame:
     """The table's partitions as rows of text columns, from the catalog alone.
 
-    With days, only their partitions are listed, by the first column of the layout.
+    With days, only their partitions are returned, by the first column of the layout; a few
+    are listed day by day, for many the whole table is listed once.
     """
     columns = layout.partitioned_by
-    specs = [""] if days is None else [f" PARTITION ({columns[0]} = '{day}')" for day in days]
+    days = None if days is None else list(days)
+    one_list = days is None or len(days) > LISTED_DAYS
+    specs = [""] if one_list else [f" PARTITION ({columns[0]} = '{day}')" for day in days]
     lists = [spark.sql(f"SHOW PARTITIONS {name}{spec}") for spec in specs]
     if not lists:
         return spark.createDataFrame([], ", ".join(f"{column} STRING" for column in columns))
@@ -142,7 +149,8 @@ def partitions(
         text = F.regexp_extract("partition", f"{column}=([^/]*)", 1)
         return F.nullif(text, F.lit(NULL_PARTITION)).alias(column)
 
-    return reduce(DataFrame.union, lists).select(*map(value_of, columns))
+    found = reduce(DataFrame.union, lists).select(*map(value_of, columns))
+    return found.filter(F.col(columns[0]).isin(days)) if one_list and days else found
 
 
 def drop_partitions(
