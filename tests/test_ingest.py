@@ -1,5 +1,6 @@
 import datetime
 import json
+import os
 from decimal import Decimal
 from types import SimpleNamespace
 
@@ -7,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import VALID, event, rows_of
-from trailmart.schema import EVENTS, KAFKA_RECORD_DDL, STORED_EVENT_COLUMNS
+from trailmart.schema import EVENT_COLUMNS, EVENTS, KAFKA_RECORD_DDL, STORED_EVENT_COLUMNS
 from trailmart.session import fresh_path
 from trailmart.sources.kafka import as_records, read_kafka_events, read_record_files
 from trailmart.sources.tables import create_table, partitions, read_events, store_events, table_name
 from trailmart.streaming import ingest
+from trailmart.streaming.progress import run_until, watched
 
 NOW = {"availableNow": True}
 
@@ -125,6 +127,7 @@ class Stream:
         self.spark, self.schema, self.events_of = spark, schema, events_of
         self.records = fresh_path(spark, "records")
         self.checkpoint = fresh_path(spark, "checkpoint")
+        self.late = False
 
     def produce(self, *rows):
         as_records(self.events_of(*rows)).coalesce(1).write.mode("append").parquet(self.records)
@@ -221,3 +224,128 @@ def test_a_running_query_is_stopped_on_the_way_out():
     with pytest.raises(KeyboardInterrupt):
         ingest.run_to_end(query)
     assert query.stopped
+
+
+UNREADABLE = [
+    '{"event_id": "e1"',
+    "null",
+    "[]",
+    f"[{json.dumps(VALID)}]",
+    "text",
+    with_fields(event_time="5th of January"),
+    with_fields(quantity=1.5),
+    with_fields(quantity="2"),
+    with_fields(price=123456789012.0),
+]
+READABLE = [
+    None,
+    "",
+    "  ",
+    "{}",
+    with_fields(user_id=7),
+    with_fields(price=1.235),
+    with_fields(event_time=1_704_448_800),
+    with_fields(unknown={"a": [1]}),
+    with_fields() + "{}",
+]
+
+
+@pytest.mark.parametrize("text", UNREADABLE)
+def test_what_would_fail_the_ingestion_is_a_dead_letter(records_of, text):
+    records = records_of(text)
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        ingest.parse_events(records).collect()
+    marked = ingest.parse_and_mark_events(records).first()
+    assert marked.validation_error == "document is not a clickstream event"
+    assert marked.dead_letter == records.first()
+
+
+@pytest.mark.parametrize("text", READABLE)
+def test_what_can_be_read_is_read_alike(records_of, text):
+    marked = ingest.parse_and_mark_events(records_of(text))
+    assert marked.first().dead_letter is None
+    assert marked.select(*EVENT_COLUMNS).first() == ingest.parse_events(records_of(text)).first()
+
+
+def routed(stream, marked, trigger=NOW):
+    return ingest.start_routed_ingestion(marked, stream.checkpoint, stream.schema, trigger=trigger)
+
+
+def test_unreadable_documents_do_not_stop_the_routed_stream(spark, stream, records_of):
+    stream.produce(event(event_id="a"), event(event_id="b", browser=""))
+    bad = records_of(*UNREADABLE).coalesce(1)
+    bad.write.mode("append").parquet(stream.records)
+    stream.produce(event(event_id="c"))
+    records = read_record_files(spark, stream.records, files_per_batch=1)
+    with watched(spark) as progress:
+        ingest.run_to_end(routed(stream, ingest.parse_and_mark_events(records)))
+    assert stream.stored() == ["a", "c"]
+    kept = ingest.dead_letters(spark, stream.schema)
+    assert rows_of(kept) == rows_of(bad)
+    assert progress.refused == {
+        "browser is required": 1,
+        "document is not a clickstream event": len(UNREADABLE),
+    }
+    assert [rows for _, rows, _ in progress.batches] == [2, len(UNREADABLE), 1]
+    again = ingest.parse_and_mark_events(kept)
+    assert again.filter("dead_letter IS NULL").isEmpty()
+
+
+def test_a_repeated_batch_replaces_its_letters(spark, stream, records_of):
+    records_of(*UNREADABLE[:2]).write.mode("append").parquet(stream.records)
+    marked = ingest.parse_and_mark_events(read_record_files(spark, stream.records))
+    query = routed(stream, marked)
+    ingest.run_to_end(query)
+    commits = f"{stream.checkpoint}/commits/0".removeprefix("file:")
+    os.remove(commits)
+    os.remove(os.path.join(os.path.dirname(commits), ".0.crc"))
+    ingest.run_to_end(routed(stream, marked))
+    assert ingest.dead_letters(spark, stream.schema).count() == 2
+
+
+def test_timed_triggers_are_stopped_between_batches(spark, stream):
+    for name in "abcd":
+        stream.produce(event(event_id=name))
+    events = ingest.parse_and_validate_events(
+        read_record_files(spark, stream.records, files_per_batch=1)
+    )
+    with watched(spark) as progress:
+        query = ingest.start_clickstream_ingestion(
+            events, stream.checkpoint, stream.schema, trigger={"processingTime": "1 second"}
+        )
+        run_until(query, lambda: len(progress.batches) >= 3)
+    assert not query.isActive
+    done = [number for number, _, _ in progress.batches]
+    assert done == list(range(len(done))) and 3 <= len(done) <= 4
+    assert stream.stored() == list("abcd")[: len(done)]
+    stream.ingest()
+    assert stream.stored() == list("abcd")
+
+
+def test_the_default_trigger_waits_for_its_minute(spark, stream):
+    stream.produce(event(event_id="a"))
+    events = ingest.parse_and_validate_events(read_record_files(spark, stream.records))
+    with watched(spark) as progress:
+        query = ingest.start_clickstream_ingestion(events, stream.checkpoint, stream.schema)
+        started = datetime.datetime.now()
+        run_until(query, lambda: progress.batches and waited(started, 3, stream))
+    assert len(progress.batches) == 1 and stream.stored() == ["a"]
+
+
+def waited(since, seconds, stream):
+    """Whether so much time went by; something new has come to the topic meanwhile."""
+    if not stream.late:
+        stream.produce(event(event_id="b"))
+        stream.late = True
+    return (datetime.datetime.now() - since).total_seconds() > seconds
+
+
+def test_a_failing_query_is_not_waited_for(spark, stream):
+    stream.produce(event(event_id="a", page_url=None))
+    events = ingest.parse_and_validate_events(read_record_files(spark, stream.records))
+    query = ingest.start_clickstream_ingestion(
+        events, stream.checkpoint, stream.schema, trigger={"processingTime": "1 second"}
+    )
+    with pytest.raises(Exception, match="page_url is required"):
+        run_until(query, lambda: False)
+    assert not query.isActive

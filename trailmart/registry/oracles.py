@@ -245,6 +245,9 @@ BROKEN_FIELDS = (
     ("quantity", "0"),
     ("order_id", "''"),
 )
+# Of so many records by number the first ones cannot be read, one way for each remainder.
+UNREADABLE_STEP, UNREADABLE_WAYS = 40, 7
+MALFORMED = "document is not a clickstream event"
 NARROW_START, NARROW_END = "2024-01-08 00:00:00", "2024-01-12 00:00:00"
 
 
@@ -284,6 +287,8 @@ def oracle_statements() -> dict[str, str]:
         + f",\nmarked AS (SELECT *, {validation_case()} AS validation_error FROM clickstream)\n"
     )
     valid = with_error + "SELECT * EXCLUDE (validation_error) FROM marked WHERE validation_error IS NULL"
+    number = "CAST(substr(event_id, 2) AS BIGINT)"
+    unread = f"{number} % {UNREADABLE_STEP} < {UNREADABLE_WAYS}"
     narrow = _within("event_date", NARROW_START[:10], NARROW_END[:10], "DATE")
     statements = {
         "clickstream_events": events + "SELECT * FROM clickstream",
@@ -337,6 +342,18 @@ def oracle_statements() -> dict[str, str]:
               GROUP BY 1 HAVING rewritten_files > 1""",
         "compact_rerun_metrics": "SELECT DATE '2024-01-05' AS event_date, "
         + "CAST(0 AS BIGINT) AS rewritten_files, CAST(0 AS BIGINT) AS added_files WHERE false",
+        "stream_dead_letters": events
+        + f"""SELECT {number} AS "offset", 'clickstream' AS topic, event_time AS "timestamp",
+                     '{MALFORMED}' AS error
+              FROM clickstream WHERE {unread}""",
+        "stream_past_dead_letters": f"{valid} AND NOT {unread}",
+        "stream_dead_letters_again": with_error
+        + "SELECT validation_error AS message, count(*) AS events FROM marked "
+        + f"WHERE {unread} GROUP BY 1",
+        "stream_rule_counts": with_error
+        + f"""SELECT CASE WHEN {unread} THEN '{MALFORMED}' ELSE validation_error END AS message,
+                     count(*) AS events
+              FROM marked WHERE validation_error IS NOT NULL OR {unread} GROUP BY 1""",
         "stream_rejects": with_error + "SELECT * FROM marked WHERE validation_error IS NOT NULL",
     }
     same_as = {
@@ -366,7 +383,7 @@ def oracle_statements() -> dict[str, str]:
             "merge_late_events",
         ),
         events + "SELECT * FROM clickstream": ("json_decode", "compact_rows"),
-        valid: ("stream_ingest", "stream_restart", "stream_accepted"),
+        valid: ("stream_ingest", "stream_restart", "stream_accepted", "stream_timed"),
     }
     for statement, names in same_as.items():
         statements.update(dict.fromkeys(names, statement))

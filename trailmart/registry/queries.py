@@ -22,12 +22,15 @@ from trailmart.registry.oracles import (
     NARROW_END,
     NARROW_START,
     START,
+    UNREADABLE_STEP,
+    UNREADABLE_WAYS,
 )
 from trailmart.schema import (
     ABANDONMENT_MEASURES,
     CART_ABANDONMENT,
     CART_EVENT_TYPES,
     DAILY_TRAFFIC,
+    DEAD_LETTERS,
     EVENT_COLUMNS,
     EVENTS,
     PRODUCT_DAY_KEYS,
@@ -51,6 +54,7 @@ from trailmart.sources.tables import (
 )
 from trailmart.streaming.ingest import (
     REJECTED_EVENTS,
+    dead_letters,
     parse_and_mark_events,
     parse_and_validate_events,
     parse_events,
@@ -58,8 +62,10 @@ from trailmart.streaming.ingest import (
     start_clickstream_ingestion,
     start_routed_ingestion,
 )
+from trailmart.streaming.progress import run_until, watched
 
 Query = Callable[[SparkSession, str], DataFrame]
+TIMED_BATCHES = 4
 
 
 def interval_of(spark: SparkSession, start: str = START, end: str = END) -> Interval:
@@ -347,25 +353,98 @@ def stream_stamped(spark, sf_dir):
     return read_events(spark, schema).agg(F.count("ingestion_time").alias("stamped_events"))
 
 
-def _routed(spark: SparkSession, sf_dir: str) -> str:
-    records, checkpoint = fresh_path(spark, "records"), fresh_path(spark, "stream")
-    as_records(clickstream_events(spark, sf_dir)).write.parquet(records)
+def _routed(spark: SparkSession, records: DataFrame) -> str:
+    """A schema into which the records were ingested, whatever is in them."""
+    path, checkpoint = fresh_path(spark, "records"), fresh_path(spark, "stream")
+    records.write.parquet(path)
     schema = _ingestion_target(spark)
-    create_table(spark, table_name(REJECTED_EVENTS, schema), REJECTED_EVENTS)
-    marked = parse_and_mark_events(read_record_files(spark, records))
+    marked = parse_and_mark_events(read_record_files(spark, path))
     run_to_end(start_routed_ingestion(marked, checkpoint, schema, trigger={"availableNow": True}))
     return schema
 
 
+def _unreadable_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records, numbered by their offset, a part of them with a document that cannot be
+    read: one way for each of the first remainders of the number."""
+    number = F.expr("CAST(substring(event_id, 2) AS BIGINT)")
+    records = as_records(clickstream_events(spark, sf_dir), offset=number)
+    document = "decode(value, 'UTF-8')"
+    open_end = f"substring({document}, 1, length({document}) - 1)"
+    ways = (
+        f"substring({document}, 1, length({document}) - 5)",
+        f"concat('[', {document}, ']')",
+        f"""regexp_replace({document}, '"event_time":"[^"]*"', '"event_time":"5th of January"')""",
+        f"""concat({open_end}, ',"quantity":1.5}}')""",
+        f"""concat({open_end}, ',"quantity":"2"}}')""",
+        f"""concat({open_end}, ',"price":123456789012.0}}')""",
+        "'null'",
+    )
+    cases = " ".join(
+        f"WHEN offset % {UNREADABLE_STEP} = {place} THEN encode({way}, 'UTF-8')"
+        for place, way in enumerate(ways)
+    )
+    assert len(ways) == UNREADABLE_WAYS
+    return records.withColumn("value", F.expr(f"CASE {cases} ELSE value END"))
+
+
 def stream_rejects(spark, sf_dir):
-    schema = _routed(spark, sf_dir)
+    schema = _routed(spark, as_records(clickstream_events(spark, sf_dir)))
     return spark.table(table_name(REJECTED_EVENTS, schema)).select(
         *EVENT_COLUMNS, "validation_error"
     )
 
 
 def stream_accepted(spark, sf_dir):
-    return read_events(spark, _routed(spark, sf_dir)).drop("ingestion_time")
+    schema = _routed(spark, as_records(clickstream_events(spark, sf_dir)))
+    return read_events(spark, schema).drop("ingestion_time")
+
+
+def stream_dead_letters(spark, sf_dir):
+    """The records whose documents cannot be read, which do not stop the stream."""
+    schema = _routed(spark, _unreadable_records(spark, sf_dir))
+    letters = spark.table(table_name(DEAD_LETTERS, schema))
+    return letters.select("offset", "topic", "timestamp", "error")
+
+
+def stream_past_dead_letters(spark, sf_dir):
+    """The valid events among such records."""
+    schema = _routed(spark, _unreadable_records(spark, sf_dir))
+    return read_events(spark, schema).drop("ingestion_time")
+
+
+def stream_dead_letters_again(spark, sf_dir):
+    """Events by message after the dead letters, mended, were ingested as well."""
+    schema = _routed(spark, _unreadable_records(spark, sf_dir))
+    kept = dead_letters(spark, schema).select("offset")
+    records = as_records(
+        clickstream_events(spark, sf_dir),
+        offset=F.expr("CAST(substring(event_id, 2) AS BIGINT)"),
+    )
+    mended = parse_and_mark_events(records.join(kept, "offset", "left_semi"))
+    again = mended.groupBy(F.col("validation_error").alias("message"))
+    return again.agg(F.count("*").alias("events"))
+
+
+def stream_rule_counts(spark, sf_dir):
+    """What each rule refused, as the stream's own progress tells it."""
+    with watched(spark) as progress:
+        _routed(spark, _unreadable_records(spark, sf_dir))
+    return spark.createDataFrame(list(progress.refused.items()), "message STRING, events BIGINT")
+
+
+def stream_timed(spark, sf_dir):
+    """Several batches of a query that is triggered once a second, stopped between batches."""
+    records, checkpoint = fresh_path(spark, "records"), fresh_path(spark, "stream")
+    valid = as_records(_valid(clickstream_events(spark, sf_dir)))
+    valid.repartition(TIMED_BATCHES, F.xxhash64("value")).write.parquet(records)
+    total, schema = spark.read.parquet(records).count(), _ingestion_target(spark)
+    events = parse_and_validate_events(read_record_files(spark, records, files_per_batch=1))
+    with watched(spark) as progress:
+        query = start_clickstream_ingestion(
+            events, checkpoint, schema, trigger={"processingTime": "1 second"}
+        )
+        run_until(query, lambda: sum(rows for _, rows, _ in progress.batches) >= total)
+    return read_events(spark, schema).drop("ingestion_time")
 
 
 # --- compaction -----------------------------------------------------------------------
@@ -483,6 +562,11 @@ QUERIES: dict[str, Query] = {
     "stream_stamped": stream_stamped,
     "stream_rejects": stream_rejects,
     "stream_accepted": stream_accepted,
+    "stream_dead_letters": stream_dead_letters,
+    "stream_past_dead_letters": stream_past_dead_letters,
+    "stream_dead_letters_again": stream_dead_letters_again,
+    "stream_rule_counts": stream_rule_counts,
+    "stream_timed": stream_timed,
     "compact_rows": compact_rows,
     "compact_metrics": compact_metrics,
     "compact_rerun_metrics": compact_rerun_metrics,

@@ -59,6 +59,8 @@ KAFKA_RECORD_DDL = """
     key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP
 """
 
+KAFKA_RECORD_COLUMNS = tuple(name for name, _ in _fields(KAFKA_RECORD_DDL))
+
 PRODUCT_DAY_KEYS = ("event_date", "product_id", "product_name", "category")
 ABANDONMENT_MEASURES = (
     "cart_session_count",
@@ -163,6 +165,13 @@ REJECTED_EVENTS = TableLayout(
     ("ingest_batch",),
 )
 
+# Records whose document could not be read, as they came, for a later attempt.
+DEAD_LETTERS = TableLayout(
+    "retail_clickstream_dead_letters",
+    f"{KAFKA_RECORD_DDL.strip()}, error STRING, ingest_batch STRING",
+    ("ingest_batch",),
+)
+
 # Each batch that a compaction run writes with those it replaces; lets a rerun finish one.
 COMPACTION_LOG = TableLayout(
     "retail_clickstream_compactions",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from trailmart.functions.intervals import Interval
 from trailmart.schema import (
     COMPACTION_LOG,
+    DEAD_LETTERS,
     EVENTS,
     REJECTED_EVENTS,
     RESULT_TABLES,
@@ -57,7 +58,8 @@ def create_tables(
     )
     create_table(spark, table_name(EVENTS, schema), EVENTS)
     create_table(spark, table_name(COMPACTION_LOG, schema), COMPACTION_LOG)
-    create_table(spark, table_name(REJECTED_EVENTS, schema), REJECTED_EVENTS)
+    for layout in (REJECTED_EVENTS, DEAD_LETTERS):
+        create_table(spark, table_name(layout, schema), layout)
     for layout in RESULT_TABLES:
         for suffix in ("", DATAFRAME_SUFFIX):
             create_table(spark, table_name(layout, schema, suffix), layout)
