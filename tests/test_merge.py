@@ -154,3 +154,55 @@ def test_a_merge_leaves_no_copy_of_its_source(spark, merge, result):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     assert not [f for f in files.listStatus(path) if "merge-source-" in f.getPath().getName()]
+
+
+def written(spark, name, source, interval, window=WEEK):
+    return merge_window(
+        source, name, CART_ABANDONMENT, PRODUCT_DAY_KEYS, ABANDONMENT_MEASURES, interval(*window)
+    )
+
+
+def test_only_days_that_change_are_written(spark, merge, result, interval):
+    rows = [(5, "p1", "x", 1), (6, "p1", "x", 2), (6, "p2", None, 3), (7, "p1", None, 4)]
+    days = ["2024-01-05", "2024-01-06", "2024-01-07"]
+    assert written(spark, merge.name, result(*rows), interval) == days
+    assert written(spark, merge.name, result(*reversed(rows)), interval) == []
+    files = {r[0] for r in spark.table(merge.name).select("_metadata.file_path").collect()}
+    changed = [*rows[:2], (6, "p2", None, 9), rows[3]]
+    assert written(spark, merge.name, result(*changed), interval) == days[1:2]
+    now = {r[0] for r in spark.table(merge.name).select("_metadata.file_path").collect()}
+    assert len(files & now) >= 2 and all("01-06" in path for path in files ^ now)
+    assert written(spark, merge.name, result(*rows[:3], (8, "p1", "x", 1)), interval) == [
+        "2024-01-06", "2024-01-07", "2024-01-08"
+    ]
+
+
+def test_a_null_that_moves_to_another_column_is_a_change(spark, merge, result, interval):
+    moved = result((5, "p1", "ring", 1)).withColumn("product_name", F.lit(None).cast("string"))
+    written(spark, merge.name, result((5, "p1", None, 1)), interval)
+    assert written(spark, merge.name, moved, interval) == ["2024-01-05"]
+    assert written(spark, merge.name, moved, interval) == []
+
+
+def test_copies_that_stay_are_no_change_and_lost_copies_are_one(spark, merge, result, interval):
+    for _ in range(3):
+        append_by_name(result((5, "p1", "x", 1)), merge.name, CART_ABANDONMENT)
+        append_by_name(result((6, "p1", None, 1)), merge.name, CART_ABANDONMENT)
+    source = result((5, "p1", "x", 1), (6, "p1", None, 1))
+    assert written(spark, merge.name, source, interval) == ["2024-01-06"]
+    assert written(spark, merge.name, source, interval) == []
+
+
+def test_equal_values_of_another_type_are_no_change(spark, merge, result, interval):
+    source = result((5, "p1", "x", 1))
+    written(spark, merge.name, source, interval)
+    wider = source.withColumn("cart_session_count", F.col("cart_session_count").cast("int"))
+    assert written(spark, merge.name, wider, interval) == []
+
+
+def test_the_day_has_to_be_a_key(spark, merge, result, interval):
+    with pytest.raises(ValueError, match="event_date has to be a key"):
+        merge_window(
+            result(), merge.name, CART_ABANDONMENT, PRODUCT_DAY_KEYS[1:], ABANDONMENT_MEASURES,
+            interval(*WEEK),
+        )

@@ -20,10 +20,48 @@ def merged_rows(
     the number of rows per key is needed: a key stored twice stays stored twice. Null
     keys equal nothing: their old rows go and their new rows are inserted.
     """
+    counted = _counted(target, source, keys, measures)
+    return _repeated(counted, F.col("copies")).select(*keys, *measures)
+
+
+def differing_days(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], measures: Sequence[str], day: str
+) -> DataFrame:
+    """(day, remains): the days whose merged rows are not the stored ones, as multisets, and
+    whether they have rows after the merge.
+
+    Both sides are reduced to fingerprints by day. The merged rows are not made for it: a row
+    counts as often as it would be there.
+    """
+    columns = [*keys, *measures]
+    merged = _fingerprints(_counted(target, source, keys, measures), day, columns, "merged")
+    stored = _fingerprints(target.withColumn("copies", F.lit(1)), day, columns, "stored")
+    both = merged.join(stored, day, "full_outer")
+    different = both.filter(~F.col("merged").eqNullSafe(F.col("stored")))
+    return different.select(day, F.col("merged").isNotNull().alias("remains"))
+
+
+def _counted(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], measures: Sequence[str]
+) -> DataFrame:
+    """Source rows with how often each is there after the merge, as ``copies``."""
     stored = target.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
     matched = source.join(stored, list(keys), "left")
-    copies = F.coalesce(F.col("copies"), F.lit(1))
-    return _repeated(matched, copies).select(*keys, *measures)
+    return matched.select(*keys, *measures, F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
+def _fingerprints(rows: DataFrame, day: str, columns: Sequence[str], name: str) -> DataFrame:
+    """(day, name): the number of a day's rows and two sums of their hashes, in any order.
+
+    Hashes skip nulls, so where they are is hashed as well.
+    """
+    nulls = [F.col(column).isNull() for column in columns]
+    copies = F.col("copies").cast("decimal(18,0)")
+    sums = [
+        F.sum(F.xxhash64(F.lit(turn), *columns, *nulls).cast("decimal(20,0)") * copies)
+        for turn in (0, 1)
+    ]
+    return rows.groupBy(day).agg(F.struct(F.sum("copies"), *sums).alias(name))
 
 
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

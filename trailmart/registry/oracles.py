@@ -274,6 +274,15 @@ def _broken_events() -> str:
     return f"broken AS (SELECT * REPLACE ({replaced}) FROM clickstream)"
 
 
+def _differing_days(other_session_products: str) -> str:
+    """The days whose abandonment is another one over other session products."""
+    return f"""
+  WITH one AS ({_with(CLICKSTREAM, _session_products_cte())} {cart_abandonment()}),
+  other AS ({_with(CLICKSTREAM, other_session_products)} {cart_abandonment()})
+  SELECT event_date FROM (SELECT * FROM one EXCEPT ALL SELECT * FROM other) UNION
+  SELECT event_date FROM (SELECT * FROM other EXCEPT ALL SELECT * FROM one)"""
+
+
 def oracle_statements() -> dict[str, str]:
     events = _with(CLICKSTREAM)
     stored = _with(CLICKSTREAM, _session_products_cte())
@@ -304,6 +313,11 @@ def oracle_statements() -> dict[str, str]:
         + ")",
         "merge_deletes": _with(CLICKSTREAM, _session_products_cte(where=fewer))
         + cart_abandonment(),
+        "merge_rerun_days": "SELECT DATE '2024-01-05' AS event_date WHERE false",
+        "merge_late_days": _differing_days(
+            f"session_products AS ({session_products(START, LATE_CUT)})"
+        ),
+        "merge_deletes_days": _differing_days(_session_products_cte(where=fewer)),
         "merge_null_keys": abandoned + "SELECT * FROM abandonment WHERE category IS NULL",
         # Of a key stored twice, null in part, both rows go and one is inserted.
         "merge_duplicates": abandoned

@@ -218,8 +218,11 @@ def cart_abandonment_daily_runs(spark, sf_dir):
 # --- merges ---------------------------------------------------------------------------
 
 
-def _merge(source: DataFrame, name: str, interval: Interval) -> None:
-    merge_window(source, name, CART_ABANDONMENT, PRODUCT_DAY_KEYS, ABANDONMENT_MEASURES, interval)
+def _merge(source: DataFrame, name: str, interval: Interval) -> list[str]:
+    """The days that the merge wrote."""
+    return merge_window(
+        source, name, CART_ABANDONMENT, PRODUCT_DAY_KEYS, ABANDONMENT_MEASURES, interval
+    )
 
 
 def _merge_in_turn(sources: Callable[[SparkSession, str], list[DataFrame]]) -> Query:
@@ -254,6 +257,18 @@ def _all_then_fewer(spark, sf_dir):
     return [products.cart_abandonment(part, interval) for part in (stored, stored.filter(~gone))]
 
 
+def _days_of_last_merge(sources: Callable[[SparkSession, str], list[DataFrame]]) -> Query:
+    """The days that the last of several merges wrote."""
+
+    def query(spark, sf_dir):
+        name = _scratch_table(spark, CART_ABANDONMENT)
+        written = [_merge(source, name, interval_of(spark)) for source in sources(spark, sf_dir)]
+        days = spark.createDataFrame([(day,) for day in written[-1]], "event_date STRING")
+        return days.select(F.col("event_date").cast("date"))
+
+    return query
+
+
 def merge_null_keys(spark, sf_dir):
     return _merge_in_turn(_same_twice)(spark, sf_dir).filter("category IS NULL")
 
@@ -550,6 +565,9 @@ QUERIES: dict[str, Query] = {
     "merge_rerun": _merge_in_turn(_same_twice),
     "merge_late_events": _merge_in_turn(_early_then_all),
     "merge_deletes": _merge_in_turn(_all_then_fewer),
+    "merge_rerun_days": _days_of_last_merge(_same_twice),
+    "merge_late_days": _days_of_last_merge(_early_then_all),
+    "merge_deletes_days": _days_of_last_merge(_all_then_fewer),
     "merge_null_keys": merge_null_keys,
     "merge_duplicates": merge_duplicates,
     "merge_outside_window": merge_outside_window,
