@@ -102,7 +102,8 @@ def test_bands_suffice_for_the_stated_probability():
         assert missed <= minmax_hash.MISSED
 
 
-def test_classes_that_are_one_meet_in_no_cell(spark):
+def test_classes_that_are_one_meet_in_no_cell(spark, monkeypatch):
+    monkeypatch.setattr(minmax_hash, "CELL_VERTICES", 64)
     rows = [(k, n, 7, 10) for k in (1, 2) for n in range(300)]
     rows += [(3, n, n % 2, 10) for n in range(200)] + [(4, n, n % 2, 10) for n in range(200)]
     rows += [(5, n, 7 if n < 1_000 else n, 10) for n in range(1_003)]
@@ -124,6 +125,28 @@ def test_classes_that_are_one_meet_in_no_cell(spark):
     assert len(met[met["key"] == 5]) < 1_200, "a class of a thousand is sent once for three others"
 
 
+def test_crowded_buckets_are_mixed_until_few_classes_are_left(spark, documents, monkeypatch):
+    monkeypatch.setattr(minmax_hash, "CELL_VERTICES", 8)
+    turns, mixed = [], minmax_hash.mixed
+    monkeypatch.setattr(
+        minmax_hash, "mixed", lambda *given: turns.append(mixed(*given).toPandas()) or mixed(*given)
+    )
+    chance = random.Random(1)
+    words = [f"w{n}" for n in range(60)]
+    texts = []
+    for _ in range(120):
+        copy = list(words)
+        for _ in range(2):
+            copy[chance.randrange(60)] = chance.choice("abcdefgh")
+        texts.append(" ".join(copy))
+    found = minmax_hash.near_duplicates(documents(*texts), 3, 85).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in found] == brute_roots(texts, 3, 85)
+    assert turns
+    for dealt in turns:
+        assert dealt["node"].is_unique
+        assert dealt.groupby(["key", "x"]).size().max() < 30
+
+
 def test_messy_tables(messy):
     found = minmax_hash.near_duplicates(messy, 3, 85)
     assert found.columns == ["doc_id", "n_shingles", "component_id", "kept"]

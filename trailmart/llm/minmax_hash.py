@@ -10,9 +10,12 @@ Equal sets are one vertex from the start. A bucket holds the vertices that agree
 
 1. every vertex is compared with one centre, the least vertex of all its buckets, which joins
    groups of near copies at one comparison a vertex;
-2. of each bucket, only vertices that are not yet of one class are compared, in cells of a
-   bounded number of vertices and shingles. Members of a bucket's largest class meet the
-   others, never one another, and buckets of the same vertices are compared once.
+2. where a bucket holds many vertices beside its largest class, its vertices are dealt at random
+   into cells of a bounded number of vertices and shingles and compared there, each vertex in
+   one bucket a round, in rounds for as long as that halves the classes of such buckets;
+3. of each bucket, all vertices that are still not of one class are compared, in cells again.
+   Members of a bucket's largest class meet the others, never one another, and buckets of the
+   same vertices are compared once.
 
 All links are confirmed on the full sets, made again from the texts and held as 64-bit hashes.
 No bucket is cut; a large one becomes more cells.
@@ -43,7 +46,7 @@ BAND_VALUES, MISSED = 5, 1e-9
 #: Shingles whose permutations are made at once.
 PERMUTED = 1 << 15
 #: Vertices and shingles of one side of a cell, and ids that a join broadcasts.
-CELL_VERTICES, CELL_SHINGLES, BROADCAST_IDS = 64, 200_000, 1_000_000
+CELL_VERTICES, CELL_SHINGLES, BROADCAST_IDS = 512, 400_000, 1_000_000
 SEED = 20_130
 
 
@@ -181,16 +184,17 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def cells(members: DataFrame) -> DataFrame:
-    """(cell, node, class) so that any two vertices of a bucket that are of different classes
-    meet in a cell, from (key, node, class, n_shingles).
+def _blocks(nodes: str, weight: str) -> str:
+    """SQL for the number of blocks that so many vertices and shingles are dealt into."""
+    most = f"greatest(({nodes}) / {CELL_VERTICES}, ({weight}) / {CELL_SHINGLES})"
+    return f"CAST(greatest(1, ceil({most})) AS INT)"
 
-    Both sides of a bucket, its largest class and the rest, are dealt into blocks by a hash.
-    A cell holds a block of the largest class and one of the rest, or two of the rest.
-    """
+
+def by_bucket(members: DataFrame) -> DataFrame:
+    """(key, main, main_nodes, main_weight, nodes, weight, classes) of (key, node, class,
+    n_shingles) rows: a bucket's vertices, their shingles, and those of its largest class."""
     weight, count = F.sum("n_shingles").alias("weight"), F.count("*").alias("nodes")
-    by_class = members.groupBy("key", "class").agg(count, weight)
-    own = by_class.groupBy("key").agg(
+    return members.groupBy("key", "class").agg(count, weight).groupBy("key").agg(
         F.max_by("class", "nodes").alias("main"),
         F.max("nodes").alias("main_nodes"),
         F.max_by("weight", "nodes").alias("main_weight"),
@@ -198,6 +202,32 @@ def cells(members: DataFrame) -> DataFrame:
         F.sum("weight").alias("weight"),
         F.count("*").alias("classes"),
     )
+
+
+def mixed(members: DataFrame, crowded: DataFrame, turn: int) -> DataFrame:
+    """(cell, node, class): the vertices of crowded buckets, each in one of its buckets and
+    there in a random cell, another one every turn."""
+    placed = members.join(crowded.select("key", "nodes", "weight"), "key")
+    chosen = F.min_by("key", F.xxhash64("key", F.lit(turn))).alias("key")
+    one = placed.groupBy("node").agg(chosen)
+    return placed.join(one, ["node", "key"]).selectExpr(
+        "key",
+        "node",
+        "class",
+        "false AS with_main",
+        f"pmod(xxhash64(node, {turn}), {_blocks('nodes', 'weight')}) AS x",
+        "0L AS y",
+    )
+
+
+def cells(members: DataFrame) -> DataFrame:
+    """(cell, node, class) so that any two vertices of a bucket that are of different classes
+    meet in a cell, from (key, node, class, n_shingles).
+
+    Both sides of a bucket, its largest class and the rest, are dealt into blocks by a hash.
+    A cell holds a block of the largest class and one of the rest, or two of the rest.
+    """
+    own = by_bucket(members)
     same = members.groupBy("key").agg(
         F.bit_xor(F.xxhash64("node")).alias("one"),
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("other"),
@@ -205,15 +235,11 @@ def cells(members: DataFrame) -> DataFrame:
     once = own.filter("classes > 1").join(same, "key")
     once = once.groupBy("nodes", "one", "other").agg(F.min("key").alias("key")).select("key")
 
-    def blocks(nodes: str, shingles: str) -> str:
-        most = f"greatest(({nodes}) / {CELL_VERTICES}, ({shingles}) / {CELL_SHINGLES})"
-        return f"CAST(greatest(1, ceil({most})) AS INT)"
-
     planned = own.join(once, "key", "left_semi").selectExpr(
         "key",
         "main",
-        f"{blocks('main_nodes', 'main_weight')} AS main_blocks",
-        f"{blocks('nodes - main_nodes', 'weight - main_weight')} AS rest_blocks",
+        f"{_blocks('main_nodes', 'main_weight')} AS main_blocks",
+        f"{_blocks('nodes - main_nodes', 'weight - main_weight')} AS rest_blocks",
     )
     met = members.join(planned, "key").withColumns(
         {
@@ -268,14 +294,24 @@ def links(marked: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
     texts = stored(texts, "texts")
     near = members.filter("node <> centre").groupBy("node").agg(F.min("centre").alias("b"))
     near = near.select(F.col("node").alias("a"), "b")
-    first = stars(confirmed(near, texts, size, percent))
-    known = first.toDF("node", "class")
-    classed = members.join(known, "node", "left").select(
-        "key", "node", F.coalesce("class", "node").alias("class"), "n_shingles"
-    )
-    met = cells(stored(classed, "classed"))
-    rest = linked_in_cells(met, texts, size, percent)
-    return stars(first.unionByName(rest)).toDF("node", "class")
+    known = stars(confirmed(near, texts, size, percent))
+    before, turn = None, 0
+    while True:
+        classed = _classed(members, known)
+        crowded = stored(by_bucket(classed).filter(f"nodes - main_nodes > {CELL_VERTICES}"), "crowded")
+        left = crowded.agg(F.sum(F.col("classes") - 1)).head()[0] or 0
+        if left == 0 or (before is not None and 2 * left > before):
+            break
+        found = linked_in_cells(mixed(classed, crowded, turn), texts, size, percent)
+        known, before, turn = stars(known.unionByName(found)), left, turn + 1
+    rest = linked_in_cells(cells(classed), texts, size, percent)
+    return stars(known.unionByName(rest)).toDF("node", "class")
+
+
+def _classed(members: DataFrame, known: DataFrame) -> DataFrame:
+    classes = members.join(known.toDF("node", "class"), "node", "left")
+    own = F.coalesce("class", "node").alias("class")
+    return stored(classes.select("key", "node", own, "n_shingles"), "classed")
 
 
 def near_duplicates(
