@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -44,7 +45,7 @@ FIRST, GROWTH = 2, 8
 #: Most hashes that are sent to the tasks, and bits of the table that is looked up first.
 SENT, TABLE_BITS = 1 << 20, 24
 #: Bytes of text cut into words at once, and hashes that a task holds before it passes them on.
-CHUNK, HELD = 4 << 20, 4 << 20
+CHUNK, HELD = 4 << 20, 2 << 20
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 BREAK = b"."
 #: A-Z in lower case, a tab as a space, and every end of a piece as a full stop.
@@ -62,10 +63,12 @@ def words_of(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
         end = len(data)
         if end - at > CHUNK:
             end = data.rfind(BREAK, at, at + CHUNK) + 1 or data.find(BREAK, at + CHUNK) + 1 or end
-        tokens = pa.array(data[at:end].split(), pa.binary()).dictionary_encode()
+        parts = pc.split_pattern(pa.array([data[at:end]], pa.binary()), b" ").flatten()
+        tokens = parts.filter(pc.greater(pc.binary_length(parts), 0)).dictionary_encode()
         at = end
         if len(tokens):
-            yield tokens.dictionary.to_pylist(), tokens.indices.to_numpy().astype(np.int64)
+            words = tokens.dictionary.to_numpy(zero_copy_only=False).tolist()
+            yield words, tokens.indices.to_numpy().astype(np.int64)
 
 
 def seed(lang: str) -> np.uint64:
@@ -192,10 +195,12 @@ def phrase_counts(documents: DataFrame, size: int, either: list) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, numbers, _, places in _occurrences(batches, size, either):
-            found = numbers[places]
+            found, most = numbers[places], len(words)
             for n in range(1, size):
-                _, found = np.unique(found, return_inverse=True)
-                found = found * len(words) + numbers[places + n]
+                if most * len(words) >= 1 << 63:
+                    distinct, found = np.unique(found, return_inverse=True)
+                    most = len(distinct)
+                found, most = found * len(words) + numbers[places + n], most * len(words)
             _, first, counts = np.unique(found, return_index=True, return_counts=True)
             at = places[first]
             spelled = zip(*[numbers[at + n].tolist() for n in range(size)])
