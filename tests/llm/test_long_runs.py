@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tracemalloc
 
+import public_tokenizers
+
 from trailmart.llm import token_counts
 
 
@@ -27,3 +29,34 @@ def test_runs_across_chunks_are_counted_once():
     words = ["ab", "x" * (3 * token_counts.CHUNK), "c", "y" * (token_counts.CHUNK + 7), "d"]
     for text in (" ".join(words), f" {words[1]} ", words[1] + words[3]):
         assert token_counts.tokens_of(text, Lengths()) == sum(map(len, text.split()))
+
+
+def test_the_scan_gives_every_prefix_of_long_runs():
+    words = ["ab", "x" * 40, "c", "y" * 23, "d" * 17]
+    text = " ".join(words) + "  "
+    for size in (1, 2, 3, 7, 16):
+        chunks = [text[at : at + size] for at in range(0, len(text), size)]
+        maps = [token_counts.chunk_map(chunk, Lengths()) for chunk in chunks]
+        for n, whole in enumerate(token_counts.prefix_scan(maps, Lengths())):
+            found = (whole.tokens or 0) + len(whole.head) + len(whole.tail)
+            assert found == len("".join("".join(chunks[: n + 1]).split()))
+
+
+def test_a_run_over_many_chunks_is_looked_up_a_few_times():
+    looked = []
+
+    class Watched(dict):
+        def __missing__(self, run):
+            looked.append(len(run))
+            return len(run)
+
+    text = "a " + "x" * (500 * token_counts.CHUNK) + " " + "b " * (200 * token_counts.CHUNK)
+    assert token_counts.tokens_of(text, Watched()) == len("".join(text.split()))
+    assert sum(length > token_counts.CHUNK for length in looked) < 25
+
+
+def test_long_runs_are_not_kept():
+    runs = token_counts.Runs(public_tokenizers.path("word_bpe_49k.json"))
+    before = len(runs)
+    assert runs["x" * 10_000] == runs["x" * 10_000] > 0
+    assert len(runs) == before
