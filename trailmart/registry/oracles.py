@@ -371,7 +371,7 @@ def oracle_statements() -> dict[str, str]:
         "stream_rejects": with_error + "SELECT * FROM marked WHERE validation_error IS NOT NULL",
     }
     same_as = {
-        traffic: ("daily_traffic", "daily_traffic_sql"),
+        traffic: ("daily_traffic", "daily_traffic_sql", "traffic_from_hours"),
         f"{traffic} UNION ALL {daily_traffic()}": ("append_twice", "append_twice_sql"),
         events + sessions(): ("sessions", "sessions_sql", "sessions_job", "sessions_job_sql"),
         events + session_products(): (

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trailmart.functions.intervals import Interval
 from trailmart.functions.validation import validation_error
 from trailmart.operators import products, summaries
-from trailmart.plans import dataframe_jobs, sql_jobs, sql_text
+from trailmart.plans import dataframe_jobs, hourly_jobs, sql_jobs, sql_text
 from trailmart.plans.compaction import compact_clickstream_events
 from trailmart.plans.merge_window import merge_window
 from trailmart.registry.oracles import (
@@ -66,6 +66,7 @@ from trailmart.streaming.progress import run_until, watched
 
 Query = Callable[[SparkSession, str], DataFrame]
 TIMED_BATCHES = 4
+PART_HOUR = "2024-01-12 10:25:00"
 
 
 def interval_of(spark: SparkSession, start: str = START, end: str = END) -> Interval:
@@ -198,6 +199,19 @@ def _daily_runs(spark: SparkSession, sf_dir: str, build: Callable) -> str:
     return schema
 
 
+def traffic_from_hours(spark, sf_dir):
+    """Daily traffic put together from parts of hours, loaded in several runs.
+
+    The first run ends within an hour, which the second one goes on with.
+    """
+    schema = _stored_clickstream(spark, sf_dir)
+    hourly_jobs.create_hourly_tables(spark, schema)
+    for start, end in ((START, PART_HOUR), (PART_HOUR, LATE_CUT), (LATE_CUT, END)):
+        hourly_jobs.add_hourly_traffic(spark, start, end, schema)
+    hourly_jobs.build_daily_traffic_from_hours(spark, START, END, schema)
+    return read_table(spark, table_name(DAILY_TRAFFIC, schema, DATAFRAME_SUFFIX), DAILY_TRAFFIC)
+
+
 def sessions_daily_runs(spark, sf_dir):
     schema = _daily_runs(spark, sf_dir, dataframe_jobs.build_sessions)
     return read_table(spark, table_name(SESSIONS, schema, DATAFRAME_SUFFIX), SESSIONS)
@@ -504,6 +518,7 @@ QUERIES: dict[str, Query] = {
     "clickstream_events": clickstream_events,
     "events_in_interval": events_in_interval,
     "daily_traffic": daily_traffic,
+    "traffic_from_hours": traffic_from_hours,
     "daily_traffic_sql": _sql_over_events(sql_text.DAILY_TRAFFIC),
     "sessions": sessions,
     "sessions_sql": _sql_over_events(sql_text.SESSIONS),

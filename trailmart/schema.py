@@ -108,6 +108,19 @@ DAILY_TRAFFIC = TableLayout(
     """,
 )
 
+# Traffic by hour, and the dense numbers of ids whose bits its bitmaps hold.
+ID_NUMBERS = TableLayout("retail_id_numbers", "id STRING, number BIGINT, kind STRING", ("kind",))
+HOURLY_COUNTS = TableLayout(
+    "retail_hourly_traffic",
+    f"hour INT, total_events BIGINT, {_counts(EVENT_TYPES)}, event_date DATE",
+    ("event_date",),
+)
+HOURLY_IDS = TableLayout(
+    "retail_hourly_ids",
+    "hour INT, kind STRING, bucket BIGINT, bitmap BINARY, event_date DATE",
+    ("event_date",),
+)
+
 SESSIONS = TableLayout(
     "retail_sessions",
     f"""
