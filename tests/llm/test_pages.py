@@ -125,10 +125,50 @@ def test_domains(spark):
     ]
 
 
+def test_names_are_cut_from_hosts(spark):
+    cases = {
+        "user:pass@www.a.example.com:8080": ("example.com", "com"),
+        "example.com.": ("example.com", "com"),
+        "10.0.0.1": ("10.0.0.1", "[address]"),
+        "10.0.0.1:80": ("10.0.0.1", "[address]"),
+        "[::1]:443": ("[::1]", "[address]"),
+        "www.service.gov.uk": ("service.gov.uk", "gov.uk"),
+        "a.b.com.br": ("b.com.br", "com.br"),
+        "x.co.example": ("co.example", "example"),
+        ":80": ("", ""),
+        "...": ("", ""),
+    }
+    hosts = spark.createDataFrame([(host,) for host in cases], "host string")
+    rows = {r["host"]: (r["domain"], r["suffix"]) for r in url_reputation.with_domains(hosts).collect()}
+    assert rows == cases
+    own = url_reputation.with_domains(hosts, ("b",)).filter("host = 'a.b.com.br'").first()
+    assert (own["domain"], own["suffix"]) == ("com.br", "br")
+
+
+def test_clean_pages_lower_the_bound_of_their_host(spark):
+    def of(host, de, en):
+        return [f"http://{host}/de/{n}" for n in range(de)] + [f"http://{host}/en/{n}" for n in range(en)]
+
+    urls = [*of("bad.example.com", 60, 5), *of("clean.example.com", 1, 64), *of("new.example.com", 0, 1)]
+    urls += ["http://10.0.0.1/en/", "http://other.com/en/"]
+    given = spark.createDataFrame([(n, u, None) for n, u in enumerate(urls)], PAGES)
+    found = url_reputation.judged(given, URL_RULES).filter("rule IS NULL")
+    verdicts = {(r["host"], r["verdict"]) for r in found.collect()}
+    assert {("bad.example.com", "block"), ("clean.example.com", "allow")} <= verdicts
+    assert len(verdicts) == 5, "one verdict a host"
+    strict = url_reputation.judged(given, URL_RULES, least_blocked=0.99).filter("rule IS NULL")
+    assert strict.filter("verdict = 'block'").isEmpty()
+
+
 def test_messy_pages_equal_their_sql(pages):
     import duckdb
 
-    for rows in (pages, pages.limit(0)):
+    odd = ["http://u@10.0.0.1:80/", "http://10.0.0.1/x", "http://[::1]:8/", "http://a.gov.uk./de/"]
+    odd += ["http://example.com/de/1", "http://u:p@example.com:8080/en/"]
+    spark = pages.sparkSession
+    rows = [(int(n), u, None) for n, u in enumerate(odd, 100)]
+    with_odd = pages.select("page_id", "url", "html").union(spark.createDataFrame(rows, PAGES))
+    for rows in (pages, with_odd, pages.limit(0)):
         found = url_reputation.judged(rows, URL_RULES)
         connection = duckdb.connect()
         connection.register("given", rows.select("page_id", "url").toArrow())

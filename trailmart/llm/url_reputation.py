@@ -1,14 +1,18 @@
 """URL filters: rules first, then empirical-Bayes reputation of the host.
 
-Pages that a rule decides are the labelled outcomes. Their counts per host are shrunk
-through beta-binomial priors: a suffix towards all outcomes, a registered domain towards its
-suffix, a host towards its domain. How strongly is estimated at each level from how far the
-children scatter around their parents. A host is blocked if the lower bound of its posterior
-probability of a bad outcome reaches ``LEAST_BLOCKED``; hosts without outcomes have their
-domain's prior alone. Only DataFrame functions are used.
+Every page is an outcome of its host: bad if a rule blocks it, else not, so that a host's clean
+pages lower its bound. The counts per host are shrunk through beta-binomial priors: a suffix
+towards all outcomes, a registered domain towards its suffix, a host towards its domain. How
+strongly is estimated at each level from how far the children scatter around their parents. A
+host is blocked if the lower bound of its posterior share of bad pages reaches ``LEAST_BLOCKED``.
+Only DataFrame functions are used.
+
+Domain and suffix come from the host without user information, port and trailing dots. A suffix
+is the last label, or two of them under a country's code where the second is one of
+``SECOND_LABELS``, which is an argument. Addresses are their own domains, with one suffix.
 
 A null url or one without ``://`` has an empty host and path; the empty host is a host like
-any other. Without outcomes every host is allowed. Repeated pages count and are judged each.
+any other. Repeated pages count and are judged each.
 """
 
 from __future__ import annotations
@@ -20,12 +24,19 @@ from pyspark.sql import functions as F
 
 from trailmart.llm.common import stored
 
-#: Standard deviations of the one-sided bound, and the bound from which a host is blocked.
-DEVIATIONS, LEAST_BLOCKED = 1.645, 0.5
+#: Standard deviations of the one-sided bound, and the bound from which a host is blocked:
+#: with 95 % confidence, at least a tenth of its pages are bad.
+DEVIATIONS, LEAST_BLOCKED = 1.645, 0.1
 #: Bounds of the estimated correlation of outcomes within a group.
 LEAST_CORRELATION, MOST_CORRELATION = 0.01, 0.99
-# Suffixes of two labels under which names are registered.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "com.br", "co.jp", "co.in", "co.nz")
+# Labels that, before a country's code, make a suffix of two labels.
+SECOND_LABELS = (
+    "ac", "co", "com", "edu", "go", "gob", "gouv", "gov", "id", "ltd", "mil", "ne", "net", "nom",
+    "or", "org", "plc", "sch",
+)
+#: What precedes, follows and makes up a name, alike in both engines' patterns.
+USER, PORT, DOTS = r"^[\s\S]*@", r":[0-9]*\z", r"\.+\z"
+ADDRESS, ADDRESSES = r"^([0-9]+(\.[0-9]+){3}|\[[\s\S]*)\z", "[address]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -68,17 +79,29 @@ def ruled(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return rows.withColumn("rule_verdict", F.coalesce(*verdicts, nothing))
 
 
-def with_domains(hosts: DataFrame) -> DataFrame:
+def _two_labels(second_labels: tuple[str, ...]) -> str:
+    return rf"^({'|'.join(second_labels)})\.[a-z]{{2}}\z"
+
+
+def with_domains(hosts: DataFrame, second_labels: tuple[str, ...] = SECOND_LABELS) -> DataFrame:
     """With ``suffix`` and ``domain``, the name registered under it."""
-    two = ", ".join(f"'{suffix}'" for suffix in TWO_LABEL_SUFFIXES)
-    return (
-        hosts.withColumn("labels", F.split("host", r"\."))
-        .withColumn("last", F.expr("substring_index(host, '.', -2)"))
-        .withColumn("deep", F.expr(f"IF(last IN ({two}), 2, 1)"))
-        .withColumn("suffix", F.expr("substring_index(host, '.', -deep)"))
-        .withColumn("domain", F.expr("substring_index(host, '.', -deep - 1)"))
-        .drop("labels", "last", "deep")
-    )
+    name = F.col("host")
+    for pattern in (USER, PORT, DOTS):
+        name = F.regexp_replace(name, pattern, "")
+    last = F.substring_index("bare_name", ".", -2)
+    address = F.col("bare_name").rlike(ADDRESS)
+    parted = hosts.withColumn("bare_name", name)
+    parted = parted.withColumn("deep", F.when(last.rlike(_two_labels(second_labels)), 2).otherwise(1))
+    return parted.withColumns(
+        {
+            "suffix": F.when(address, ADDRESSES).otherwise(
+                F.expr("substring_index(bare_name, '.', -deep)")
+            ),
+            "domain": F.when(address, F.col("bare_name")).otherwise(
+                F.expr("substring_index(bare_name, '.', -deep - 1)")
+            ),
+        }
+    ).drop("bare_name", "deep")
 
 
 def _strength(children: DataFrame, parent: str) -> float:
@@ -126,12 +149,14 @@ def _shrunk(joined: DataFrame, parent: str) -> DataFrame:
     return joined.withColumn("strength", F.lit(strength)).withColumn("mean", mean)
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
+def reputations(
+    outcomes: DataFrame, second_labels: tuple[str, ...] = SECOND_LABELS
+) -> DataFrame:
     """(host, mean, bound) from (host, bad) rows; bad is null where nothing is known."""
     counted = outcomes.groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("k")
     )
-    hosts = stored(with_domains(counted), "hosts")
+    hosts = stored(with_domains(counted, second_labels), "hosts")
 
     def summed(rows: DataFrame, *keys: str) -> DataFrame:
         return rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
@@ -151,12 +176,17 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     return hosts.select("host", "mean", (F.col("mean") - DEVIATIONS * deviation).alias("bound"))
 
 
-def judged(pages: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+def judged(
+    pages: DataFrame,
+    rules: tuple[Rule, ...],
+    least_blocked: float = LEAST_BLOCKED,
+    second_labels: tuple[str, ...] = SECOND_LABELS,
+) -> DataFrame:
     """(page_id, host, path, rule, verdict) of each page."""
     rows = ruled(located(pages), rules)
-    outcomes = rows.select("host", (F.col("rule_verdict") == "block").alias("bad"))
-    known = stored(reputations(outcomes), "reputations")
-    blocked = known.select("host", (F.col("bound") >= LEAST_BLOCKED).alias("blocked"))
+    bad = F.coalesce(F.col("rule_verdict") == "block", F.lit(False))
+    known = stored(reputations(rows.select("host", bad.alias("bad")), second_labels), "reputations")
+    blocked = known.select("host", (F.col("bound") >= least_blocked).alias("blocked"))
     own = F.when(F.col("blocked"), "block").otherwise("allow")
     return rows.join(blocked, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("rule_verdict", own).alias("verdict")
@@ -172,8 +202,6 @@ def oracle(rules: tuple[Rule, ...]) -> str:
         for r in longest_first
     )
     blocks = ", ".join(f"'{r.name}'" for r in rules if r.verdict == "block")
-    two = ", ".join(f"'{suffix}'" for suffix in TWO_LABEL_SUFFIXES)
-
     def level(name: str, children: str, parent: str, parents: str) -> str:
         return f"""
         {name}_joined AS (
@@ -211,17 +239,23 @@ def oracle(rules: tuple[Rule, ...]) -> str:
     ), ruled AS (
         SELECT *, CASE {fits} END AS rule FROM located
     ), counted AS (
-        SELECT host, count(rule)::DOUBLE AS n,
+        SELECT host, count(*)::DOUBLE AS n,
                count(*) FILTER (WHERE rule IN ({blocks}))::DOUBLE AS k
         FROM ruled GROUP BY host
+    ), bare AS (
+        SELECT *, regexp_replace(regexp_replace(regexp_replace(host,
+            '{USER}', ''), '{PORT}', ''), '{DOTS}', '') AS name FROM counted
     ), parted AS (
-        SELECT *, string_split(host, '.') AS labels,
-               CASE WHEN array_to_string(string_split(host, '.')[-2:], '.') IN ({two})
-                    THEN 2 ELSE 1 END AS deep
-        FROM counted
+        SELECT *, string_split(name, '.') AS labels, regexp_matches(name, '{ADDRESS}') AS address,
+               CASE WHEN regexp_matches(array_to_string(string_split(name, '.')[-2:], '.'),
+                    '{_two_labels(SECOND_LABELS)}') THEN 2 ELSE 1 END AS deep
+        FROM bare
     ), hosts0 AS (
-        SELECT host, n, k, array_to_string(labels[-deep:], '.') AS suffix,
-               array_to_string(labels[-deep - 1:], '.') AS domain FROM parted
+        SELECT host, n, k,
+               CASE WHEN address THEN '{ADDRESSES}'
+                    ELSE array_to_string(labels[-deep:], '.') END AS suffix,
+               CASE WHEN address THEN name
+                    ELSE array_to_string(labels[-deep - 1:], '.') END AS domain FROM parted
     ), domains0 AS (
         SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts0 GROUP BY ALL
     ), suffixes0 AS (
