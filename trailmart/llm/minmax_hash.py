@@ -147,11 +147,13 @@ def with_bands(documents: DataFrame, size: int, percent: int) -> DataFrame:
 
 def buckets(marked: DataFrame, sets: DataFrame) -> DataFrame:
     """(key, node, n, centre) of each vertex and bucket of two vertices or more, stored."""
-    heads = marked.join(sets, F.col("row") == F.col("node"), "left_semi")
+    nodes = stored_side(sets.select("node"), "nodes", BROADCAST_IDS)
+    heads = marked.join(nodes, F.col("row") == F.col("node"), "left_semi")
     keys = heads.select(F.col("row").alias("node"), "n_shingles", F.explode("bands").alias("key"))
     keys = stored(keys, "bands")
     shared = keys.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("nodes"))
     shared = shared.filter("nodes > 1").select("key", "centre")
+    shared = stored_side(shared, "shared", BROADCAST_IDS)
     return stored(keys.join(shared, "key"), "buckets")
 
 
