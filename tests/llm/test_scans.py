@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+import textwrap
 from collections import defaultdict
 
 import pytest
@@ -89,37 +91,89 @@ def test_proximity(documents, items):
     assert sorted({r["document"] for r in near}) == [0, 2]
 
 
-def brute_dice(text, template):
-    def bigrams(words):
-        return set(zip(words, words[1:]))
-
-    units = [re.findall("[a-z0-9]+", u.lower()) for u in [*text.split("\n"), text]]
-    wanted = bigrams(re.findall("[a-z0-9]+", template.lower()))
-    return max(2 * len(bigrams(u) & wanted) / max(1, len(bigrams(u)) + len(wanted)) for u in units)
+def pairs(words):
+    return list(zip(words, words[1:]))
+
+
+def brute_dice(text, template, threshold=license_scan.THRESHOLD):
+    """The best stretch of the template's length that lies around one of its longest bigrams."""
+    words, own = (re.findall("[a-z0-9]+", t.lower()) for t in (text, template))
+    wanted = set(pairs(own))
+    low = len(wanted) * threshold / (2 - threshold)
+    anchors = sorted(wanted, key=lambda b: (-len(" ".join(b)), " ".join(b)))
+    anchors = anchors[: len(wanted) - math.ceil(low) + 1]
+    best = 0
+    for at, pair in enumerate(pairs(words)):
+        if pair in anchors:
+            first = max(0, at - pairs(own).index(pair))
+            found = words[first : first + len(own)]
+            if len(found) - 1 >= low:
+                shared = set(pairs(found))
+                best = max(best, 2 * len(shared & wanted) / (len(shared) + len(wanted)))
+    return best
+
+
+def wrapped(text, prefix="", width=80):
+    return "\n".join(prefix + line for line in textwrap.wrap(text, width - len(prefix)))
+
+
+KNOWN = dict(license_scan.TEMPLATES)
+SCANNED = (
+    "Some words.\nReleased under the MIT License.\nMore.", "RELEASED   under: the mit licence",
+    KNOWN["MIT-text"].replace(", ", ",\n"), KNOWN["MIT-text"], "x", "", None,
+    "Released under the MIT License. " * 9, "Licensed under CC BY NC 4.0!",
+    f"intro words\n{KNOWN['MIT-text']} and a few words more\nend", "license " * 50,
+    f"Copyright (c) 2020 Foo\n\n{wrapped(KNOWN['MIT-text'])}\n\nThe above copyright notice",
+    f"#!/bin/sh\n{wrapped(KNOWN['Apache-2.0-header'], '# ')}\nexit 0",
+    "Copyright 2020 Foo. Licensed under the Apache License, Version 2.0. All rights reserved.",
+    f"/*\n{wrapped(KNOWN['GPL-2.0-header'], ' * ', 60)}\n */\nint main",
+    wrapped(KNOWN["BSD-3-Clause-text"].replace("copyright holder", "Foo Corporation"), "// "),
+    "Permission is hereby granted, free of charge, to any person obtaining",
+)
 
 
 def test_licence_scan(documents):
-    mit = dict(license_scan.TEMPLATES)["MIT-text"]
-    texts = [
-        "Some words.\nReleased under the MIT License.\nMore.", "RELEASED   under: the mit licence",
-        mit.replace(", ", ",\n"), mit, "Released under the MIT License. " * 9, "x", "", None,
-        "Licensed under CC BY NC 4.0!", f"intro words\n{mit} and a few words more\nend",
-    ]
-    rows = license_scan.scanned(documents(*texts)).collect()
+    rows = license_scan.scanned(documents(*SCANNED)).collect()
     for row in rows:
-        text = texts[row["doc_id"]] or ""
         want = {
             name: dice
             for name, template in license_scan.TEMPLATES
-            if (dice := brute_dice(text, template)) >= license_scan.THRESHOLD
+            if (dice := brute_dice(SCANNED[row["doc_id"]] or "", template)) >= license_scan.THRESHOLD
         }
         assert {m["name"]: m["dice"] for m in row["matches"]} == pytest.approx(want)
 
 
-def test_licence_scan_of_a_messy_table_equals_its_sql(messy):
+def test_notices_are_found_wherever_they_stand(documents):
+    rows = license_scan.scanned(documents(*SCANNED)).orderBy("doc_id").collect()
+    names = [{m["name"] for m in row["matches"]} for row in rows]
+    assert [n for n, found in enumerate(names) if not found] == [1, 4, 5, 6, 10, 16]
+    for number, name in (
+        (0, "MIT"), (2, "MIT-text"), (7, "MIT"), (8, "CC-BY-NC-4.0"), (9, "MIT-text"),
+        (11, "MIT-text"), (12, "Apache-2.0-header"), (13, "Apache-2.0"), (14, "GPL-2.0-header"),
+        (15, "BSD-3-Clause-text"),
+    ):
+        assert name in names[number]
+
+
+def test_each_template_is_found_in_itself(documents):
+    rows = license_scan.scanned(documents(*KNOWN.values())).orderBy("doc_id").collect()
+    for name, row in zip(KNOWN, rows):
+        assert {m["name"]: m["dice"] for m in row["matches"]}[name] == 1
+
+
+def test_enough_anchors_for_any_stretch_of_the_similarity():
+    for name, text in license_scan.TEMPLATES:
+        one = license_scan.template(name, text, 0.8)
+        least = license_scan.size_bounds(len(one.bigrams), 0.8)[0]
+        assert len(one.bigrams) - len(one.anchors) < least
+        assert all(one.anchors[n] in one.bigrams for n in range(len(one.anchors)))
+
+
+def test_licence_scan_of_a_messy_table_equals_its_sql(messy, documents):
     import duckdb
 
-    for rows in (messy, messy.limit(0)):
+    given = messy.select("doc_id", "text").union(documents(*SCANNED).select("doc_id", "text"))
+    for rows in (given, messy, messy.limit(0)):
         found = license_scan.summary(license_scan.scanned(rows))
         connection = duckdb.connect()
         connection.register("given", rows.select("doc_id", "text").toArrow())
