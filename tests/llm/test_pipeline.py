@@ -64,6 +64,35 @@ def test_run_equals_its_stages(spark, stages):
     assert sorted(corpus_pipeline.run(spark, TABLES).collect()) == sorted(stages[-1])
 
 
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_stages_keep_all_columns_of_messy_and_empty_tables(spark, messy, name, stage):
+    kept = stage(spark, messy, TABLES)
+    assert kept.columns == messy.columns
+    rows = kept.collect()
+    assert {r["fp"] for r in rows} <= {"mine"}
+    assert set(map(repr, rows)) <= set(map(repr, messy.collect()))
+    assert stage(spark, messy.limit(0), TABLES).collect() == []
+
+
+def test_the_last_stage_of_messy_and_empty_tables(spark, messy):
+    assert corpus_pipeline.encode(spark, messy, TABLES).count() == messy.count()
+    assert corpus_pipeline.encode(spark, messy.limit(0), TABLES).collect() == []
+
+
+def test_a_callers_columns_survive_the_near_duplicate_stage(documents):
+    given = documents("a b c", "a b c", "x").selectExpr("*", "doc_id AS row_id", "7 AS _row_all")
+    kept = simhash.one_of_each(given).orderBy("doc_id")
+    assert kept.columns == given.columns
+    assert [(r["row_id"], r["_row_all"]) for r in kept.collect()] == [(0, 7), (2, 7)]
+
+
+def test_rows_equal_in_id_and_text_are_told_apart_by_all_columns(spark):
+    rows = [(1, "a b c", source) for source in "zyx"]
+    given = [spark.createDataFrame(part, "doc_id int, text string, source string") for part in (rows, rows[::-1])]
+    kept = [simhash.one_of_each(df.repartition(2)).collect() for df in given]
+    assert len(kept[0]) == 1 and kept[0] == kept[1]
+
+
 @pytest.mark.parametrize("name", ["op7_url_reputation", "op9_license_scan", "op11_minmax", "op12_collocations"])
 def test_oracles(spark, name):
     assert check(spark, TABLES, [name]) == {name: None}
