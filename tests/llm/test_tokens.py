@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers as public
@@ -82,6 +84,38 @@ def test_byte_bpe_decodes_slices_with_equal_hashes(codec, monkeypatch):
     assert codec.decode(codec.encode(texts)) == [text.encode() for text in texts]
 
 
+WHITE = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2007\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(st.text(st.sampled_from(WHITE + "ab\xab\x1c\u180e\u200b\u3001中𝔸")), max_size=4))
+def test_byte_bpe_pieces_begin_where_white_space_does(texts):
+    numbers, bounds, distinct = byte_bpe.pieces(texts)
+    whole = re.compile(f"[{WHITE}\u2000-\u200a]*[^{WHITE}\u2000-\u200a]+|.+", re.DOTALL)
+    assert [[distinct[n] for n in numbers[a:b]] for a, b in pairwise(bounds)] == [
+        whole.findall(text) for text in texts
+    ]
+    assert len(set(distinct)) == len(distinct)
+
+
+def test_byte_bpe_looks_a_repeated_piece_up_once(reference, monkeypatch):
+    looked = []
+
+    class Watched(byte_bpe.Numbering):
+        def of(self, keys):
+            keys = list(keys)
+            looked.extend(keys)
+            return super().of(keys)
+
+    monkeypatch.setattr(byte_bpe, "Numbering", Watched)
+    text = "the same, again " * 1_000
+    coded = byte_bpe.Codec(public.path(BYTE_BPE), public.PATTERN).encode([text, text])
+    assert [np.frombuffer(c, "<u4").tolist() for c in coded] == [
+        reference.encode_ordinary(text)
+    ] * 2
+    assert len(looked) < 20
+
+
 def test_byte_bpe_on_a_messy_table(messy, reference):
     path = public.path(BYTE_BPE)
     rows = byte_bpe.round_trip_digests(messy, path, public.PATTERN).collect()

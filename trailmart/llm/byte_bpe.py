@@ -5,7 +5,8 @@ falls into pieces that the pattern never crosses (white space and the run after
 into words by the pattern, and only words that the task's worker has not met lately are
 encoded: DuckDB holds one row per token position of each word, joins neighbouring tokens
 with the merge table, and contracts each word's leftmost pair of least rank until no pair is
-left. Decoding aggregates token bytes in order, once per distinct stretch of a buffer.
+left. Decoding joins the ids with the vocabulary and sorts the tokens' bytes by place, so that
+they lie one after the other, once per distinct stretch of a buffer.
 
 Null texts are empty; empty texts give no ids. Repeated rows stay. Other columns, whatever
 their names, are not sent to Python; those named in ``keys`` come back unchanged.
@@ -40,7 +41,12 @@ DUCKDB_MEMORY = "200MB"
 HASH_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 #: White space as the tiktoken library's pattern engine has it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+WHITE = [c.encode() for c in map(chr, range(0x3001)) if re.match(f"[{SPACE}]", c)]
+#: White space of one byte, the first bytes of longer ones, and those, packed in three bytes.
+SHORT_SPACE, LONG_SPACE_LEAD = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+SHORT_SPACE[[c[0] for c in WHITE if len(c) == 1]] = True
+LONG_SPACE_LEAD[[c[0] for c in WHITE if len(c) > 1]] = True
+LONG_SPACES = [int.from_bytes(c.ljust(3, b"\0")) for c in WHITE if len(c) > 1]
 
 #: A row per token position; k packs the word's number and the position, so that one order
 #: by k serves all words. A word without a pair in the merge table leaves the recursion.
@@ -106,10 +112,8 @@ WITH RECURSIVE piece(k, token, live) AS (
 )
 SELECT k >> 32 AS word, token FROM piece WHERE NOT live ORDER BY k
 """
-DECODE = """
-SELECT stretch, unhex(string_agg(token_hex, '' ORDER BY position)) AS bytes
-FROM tokens JOIN vocabulary USING (token) GROUP BY stretch ORDER BY stretch
-"""
+#: The bytes of all tokens in order; k packs the stretch's number and the position.
+DECODE = "SELECT bytes FROM tokens JOIN vocabulary USING (token) ORDER BY k"
 
 
 class Numbering(dict):
@@ -146,7 +150,7 @@ class Codec:
             {"pair": [pair for pair, _ in pairs], "merged": [rank for _, rank in pairs]}
         )
         vocabulary = pa.table(
-            {"token": list(ranks.values()), "token_hex": [t.hex() for t in ranks]}
+            {"token": list(ranks.values()), "bytes": pa.array(list(ranks), pa.binary())}
         )
         for name, rows in (("merges", merges), ("vocabulary", vocabulary)):
             self.db.register("loaded", rows)
@@ -161,13 +165,12 @@ class Codec:
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        pieces = Numbering()
-        numbers = [pieces.of(PIECE.findall(text)) for text in texts]
-        ids, ends = self._spell(pieces)
+        numbers, bounds, distinct = pieces(texts)
+        ids, ends = self._spell(distinct)
         starts = _starts(ends)
         return [
             _gather(ids, starts[found], ends[found]).astype("<u4", copy=False).tobytes()
-            for found in numbers
+            for found in (numbers[a:b] for a, b in itertools.pairwise(bounds))
         ]
 
     def _spell(self, pieces: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -227,20 +230,22 @@ class Codec:
         starts = np.flatnonzero(cut)
         number, first = _distinct(ids, starts, np.append(starts[1:], len(ids)))
         lengths = (np.append(starts[1:], len(ids)) - starts)[first]
+        of_stretch = np.repeat(np.arange(len(first)), lengths)
         rows = self._run(
             DECODE,
             tokens={
-                "stretch": np.repeat(np.arange(len(first)), lengths),
-                "position": places_in_runs(lengths),
+                "k": of_stretch << 32 | places_in_runs(lengths),
                 "token": _gather(ids, starts[first], starts[first] + lengths),
             },
         )
-        spelled = rows["bytes"].to_pylist()
+        tokens = rows["bytes"].combine_chunks().cast(pa.large_binary())
+        # Tokens of a stretch lie side by side, so its bytes end where its last token's do.
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        stretches = _sliced(pa.large_binary(), tokens.buffers()[2], _offsets(tokens)[ends])
+        spelled = stretches.take(pa.array(number))
         bounds = np.searchsorted(starts, np.concatenate(([0], text_ends)))
-        of_text = number.tolist()
-        return [
-            b"".join([spelled[n] for n in of_text[a:b]]) for a, b in itertools.pairwise(bounds)
-        ]
+        of_text = _sliced(pa.large_binary(), spelled.buffers()[2], _offsets(spelled)[bounds])
+        return of_text.to_pylist()
 
     def _run(self, query: str, **tables: dict[str, np.ndarray]) -> pa.Table:
         for name, columns in tables.items():
@@ -251,6 +256,49 @@ class Codec:
         return rows
 
 
+def pieces(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The numbers of all texts' pieces, the bounds of each text's, and the distinct pieces.
+
+    A piece begins with a text and where white space follows something else.
+    """
+    coded = [text.encode() for text in texts]
+    text_ends = np.cumsum([0, *map(len, coded)], dtype=np.int64)
+    data = b"".join(coded)
+    letters = np.frombuffer(data, dtype=np.uint8)
+    space = SHORT_SPACE[letters]
+    leads = np.flatnonzero(LONG_SPACE_LEAD[letters])
+    if len(leads):
+        second, third = letters[leads + 1].astype(int), np.zeros(len(leads), dtype=int)
+        of_three = letters[leads] >= 0xE0
+        third[of_three] = letters[leads[of_three] + 2]
+        packed = letters[leads].astype(int) << 16 | second << 8 | third
+        white = np.isin(packed, LONG_SPACES)
+        space[leads[white]] = space[leads[white] + 1] = True
+        space[leads[white & of_three] + 2] = True
+    begins = space.copy()
+    begins[1:] &= ~space[:-1]
+    begins[text_ends[:-1][np.diff(text_ends) > 0]] = True
+    starts = np.flatnonzero(begins)
+    found = _sliced(pa.large_string(), pa.py_buffer(data), np.append(starts, len(data)))
+    found = found.dictionary_encode()
+    numbers = found.indices.to_numpy().astype(np.int64)
+    distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+    return numbers, np.searchsorted(starts, text_ends), distinct
+
+
+def _sliced(kind: pa.DataType, data: pa.Buffer, offsets: np.ndarray) -> pa.Array:
+    """The stretches of ``data`` between neighbouring offsets."""
+    bounds = pa.py_buffer(offsets.astype(np.int64))
+    return pa.Array.from_buffers(kind, len(offsets) - 1, [None, bounds, data])
+
+
+def _offsets(values: pa.Array) -> np.ndarray:
+    """Where each value of a large binary array without nulls begins and the last one ends."""
+    return np.frombuffer(values.buffers()[1], dtype=np.int64)[
+        values.offset : values.offset + len(values) + 1
+    ]
+
+
 def _explicit_space(pattern: str) -> str:
     """The pattern with white space spelled out, as engines differ on control characters."""
     inside = re.sub(r"(\[[^\]]*)\\s", lambda m: m[1] + SPACE, pattern)
