@@ -1,13 +1,16 @@
 import datetime
+import glob
 import json
 import os
 from decimal import Decimal
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import VALID, event, rows_of
+from trailmart.registry import queries
 from trailmart.schema import EVENT_COLUMNS, EVENTS, KAFKA_RECORD_DDL, STORED_EVENT_COLUMNS
 from trailmart.session import fresh_path
 from trailmart.sources.kafka import as_records, read_kafka_events, read_record_files
@@ -349,3 +352,16 @@ def test_a_failing_query_is_not_waited_for(spark, stream):
     with pytest.raises(Exception, match="page_url is required"):
         run_until(query, lambda: False)
     assert not query.isActive
+
+
+def test_a_batch_of_one_large_file_has_work_for_many_tasks(spark, events_of, monkeypatch):
+    """A scan's task reads whole row groups, so a file needs several to be dealt out."""
+    path = fresh_path(spark, "records")
+    monkeypatch.setattr(queries, "RECORD_GROUP_BYTES", 32 << 10)
+    numbered = events_of(event()).crossJoin(spark.range(20_000).select(F.col("id").alias("n")))
+    events = numbered.withColumn("event_id", F.sha2(F.col("n").cast("string"), 256))
+    queries._put_records(as_records(events).coalesce(1), path)
+    (name,) = glob.glob(f"{path.removeprefix('file:')}/*.parquet")
+    groups = pq.ParquetFile(name).metadata
+    rows = [groups.row_group(n).num_rows for n in range(groups.num_row_groups)]
+    assert sum(rows) == 20_000 and max(rows) < 5_000
