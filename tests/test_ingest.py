@@ -365,3 +365,14 @@ def test_a_batch_of_one_large_file_has_work_for_many_tasks(spark, events_of, mon
     groups = pq.ParquetFile(name).metadata
     rows = [groups.row_group(n).num_rows for n in range(groups.num_row_groups)]
     assert sum(rows) == 20_000 and max(rows) < 5_000
+
+
+def test_only_dead_letters_are_made_documents_again(spark, schema, events_of, monkeypatch):
+    events = events_of(*[event(event_id=f"e{n}") for n in range(45)])
+    monkeypatch.setattr(queries, "clickstream_events", lambda spark, folder: events)
+    again = queries.stream_dead_letters_again(spark, "")
+    plan = again._jdf.queryExecution().optimizedPlan().toString()
+    after, _, joined = plan.lower().replace("_", "").partition("leftsemi")
+    assert "tojson" in after
+    assert joined and "tojson" not in joined
+    assert [row.asDict() for row in again.collect()] == [{"message": None, "events": 12}]
