@@ -6,7 +6,10 @@ import math
 import re
 import textwrap
 from collections import defaultdict
+from urllib.parse import urlparse
+from urllib.request import url2pathname
 
+import pyarrow.parquet as pq
 import pytest
 
 from tests.oracle_check import compare
@@ -91,6 +94,26 @@ def test_proximity(documents, items):
     assert sorted({r["document"] for r in near}) == [0, 2]
 
 
+def test_a_scan_of_the_index_holds_few_shards(documents):
+    """Row groups are small, as readers hold one at once, and places are bytes to the JVM."""
+    words = " ".join(f"w{n % 997}" for n in range(150_000))
+    index = contamination.build_index(documents(*[words] * 8).coalesce(1))
+    files = [pq.ParquetFile(url2pathname(urlparse(f).path)).metadata for f in index.inputFiles()]
+    groups = [f.row_group(n) for f in files for n in range(f.num_row_groups)]
+    assert len(groups) >= 4
+    assert max(group.total_byte_size for group in groups) < 3 << 20
+    assert {dict(index.dtypes)[name] for name in ("documents", "positions")} == {"binary"}
+
+
+def test_places_beyond_two_bytes(documents, items):
+    texts = (f"{'filler ' * 70_000}{PASSAGE}", "", PASSAGE)
+    index = contamination.build_index(documents(*texts).coalesce(1))
+    found = contamination.matches(index, next(contamination.phrase_blocks(items(PASSAGE)))).collect()
+    assert sorted((r["document"], r["first"], r["after"]) for r in found) == [
+        (0, 70_000, 70_015), (2, 0, 15)
+    ]
+
+
 def pairs(words):
     return list(zip(words, words[1:]))
 

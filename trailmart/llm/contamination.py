@@ -1,12 +1,12 @@
 """Benchmark decontamination through a distributed positional inverted index.
 
 The index is sharded by document: a task turns its documents, up to a bounded number of
-postings, into one row that holds for each term the list of its places (document, position).
-It is stored and knows nothing of the test items. These come in blocks of bounded size,
-which bounds what is sent to the tasks; a block's terms are counted over all shards, and
-within a shard each phrase starts from the list of its rarest term and is intersected,
-rarest first, with the lists of the others shifted by their offsets. What is left are exact
-occurrences; with a slack, all terms need only be near the rarest one.
+postings, into one row that holds for each term the list of its places (document, position),
+packed in bytes that only Python opens. It is stored and knows nothing of the test items.
+These come in blocks of bounded size, which bounds what is sent to the tasks; a block's terms
+are counted over all shards, and within a shard each phrase starts from the list of its rarest
+term and is intersected, rarest first, with the lists of the others shifted by their offsets.
+What is left are exact occurrences; with a slack, all terms need only be near the rarest one.
 
 Null and empty texts have no words and match nothing. Rows with equal ids are separate
 documents and are told apart by their place in the index. A phrase that several items share
@@ -31,7 +31,15 @@ from trailmart.llm.common import ready, stored, stored_side
 
 WINDOW_WORDS, CONTAMINATED_PERCENT = 13, 5
 #: Postings and documents of a shard, and words of a block of test items.
-SHARD_POSTINGS, SHARD_DOCUMENTS, BLOCK_WORDS = 600_000, 20_000, 500_000
+SHARD_POSTINGS, SHARD_DOCUMENTS, BLOCK_WORDS = 150_000, 20_000, 500_000
+#: A scan holds a whole row group at once, so those of the index are small, and so are pages.
+#: Sizes are looked at after each shard; by default, only after a hundred rows.
+INDEX_FILES = {
+    "parquet.block.size": 2 << 20,
+    "parquet.page.size": 256 << 10,
+    "parquet.page.size.row.check.min": 1,
+    "parquet.enable.dictionary": False,
+}
 #: Most contaminated documents whose names are broadcast; 16 bytes each.
 BROADCAST_ROWS = 1_000_000
 #: Lower-cases ASCII letters and turns what separates words into spaces.
@@ -41,7 +49,7 @@ FOLD = bytes(
 )
 INDEX = """
     shard string, doc_ids array<bigint>, n_words array<int>, terms array<binary>,
-    counts array<int>, documents array<int>, positions array<int>
+    counts array<int>, documents binary, positions binary
 """
 MATCHES = """
     shard string, document int, item_id bigint, first int, after int
@@ -102,7 +110,7 @@ def build_index(documents: DataFrame) -> DataFrame:
         if shard.doc_ids:
             yield shard.row()
 
-    return stored(rows.mapInArrow(shards, INDEX), "postings")
+    return stored(rows.mapInArrow(shards, INDEX), "postings", INDEX_FILES)
 
 
 class _Shard:
@@ -121,23 +129,35 @@ class _Shard:
 
     def row(self) -> pa.RecordBatch:
         n_words = np.array([len(terms) for terms in self.found], dtype=np.int64)
-        found, places = np.concatenate(self.found), places_in_runs(n_words).astype(np.int32)
+        found, places = np.concatenate(self.found), places_in_runs(n_words)
         documents = np.repeat(np.arange(len(n_words)), n_words)
         order = np.argsort(found, kind="stable")
         counts = np.bincount(found, minlength=len(self.terms))
         values = (
             uuid.uuid4().hex, self.doc_ids, n_words, list(self.terms), counts,
-            documents[order].astype(np.int32), places[order],
+            _packed(documents[order]), _packed(places[order]),
         )
         kinds = (
             pa.string(), *map(pa.list_, (pa.int64(), pa.int32(), pa.binary())),
-            *[pa.list_(pa.int32())] * 3,
+            pa.list_(pa.int32()), pa.binary(), pa.binary(),
         )
         names = _names(INDEX)
         columns = [pa.array([value], kind) for value, kind in zip(values, kinds)]
         return pa.RecordBatch.from_arrays(columns, names)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32 in two bytes each where that holds the largest, else in four."""
+    width = 2 if numbers.max(initial=0) < 1 << 16 else 4
+    return numbers.astype(f"<u{width}").tobytes()
+
+
+def _unpacked(packed: pa.Array, total: int) -> np.ndarray:
+    """``total`` numbers of the only row."""
+    data = packed[0].as_buffer()
+    return np.frombuffer(data, dtype=f"<u{data.size // total if total else 2}").astype(np.int64)
+
+
 def term_counts(index: DataFrame) -> DataFrame:
     """(term, postings) over all shards."""
     lists = index.selectExpr("inline(arrays_zip(terms, counts))").toDF("term", "postings")
@@ -155,7 +175,7 @@ def matches(index: DataFrame, block: Phrases, slack: int | None = None) -> DataF
     counts = {bytes(row["term"]): row["postings"] for row in _counted(index, block).collect()}
     known = [counts.get(term, 0) for term in block.terms]
     rarity = np.array([*known, 0], dtype=np.int64)
-    sent = spark.sparkContext.broadcast((block.terms, _by_width(block), rarity))
+    sent = spark.sparkContext.broadcast((block.terms, _by_width(block, rarity), rarity))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, phrases, rarity = sent.value
@@ -163,8 +183,8 @@ def matches(index: DataFrame, block: Phrases, slack: int | None = None) -> DataF
             for row in range(batch.num_rows):
                 shard = _Postings(batch.slice(row, 1), terms)
                 found = []
-                for matrix, items in phrases:
-                    found += shard.search(matrix, items, rarity, slack)
+                for matrix, rarest, items in phrases:
+                    found += shard.search(matrix, rarest, items, rarity, slack)
                 yield _spans(shard.name, found)
 
     columns = ["shard", "terms", "counts", "documents", "positions"]
@@ -173,40 +193,49 @@ def matches(index: DataFrame, block: Phrases, slack: int | None = None) -> DataF
 
 def _counted(index: DataFrame, block: Phrases) -> DataFrame:
     """Counts of the block's terms, which are at most the words of a block."""
-    schema = "term binary"
-    wanted = index.sparkSession.createDataFrame([(bytearray(t),) for t in block.terms], schema)
+    # As an Arrow table, they reach the executors without Python workers of another kind.
+    terms = pa.table({"term": pa.array(list(block.terms), pa.binary())})
+    wanted = index.sparkSession.createDataFrame(terms)
     return term_counts(index).join(F.broadcast(wanted), "term", "left_semi")
 
 
-def _by_width(block: Phrases) -> list[tuple[np.ndarray, list[list[int]]]]:
+def _by_width(
+    block: Phrases, rarity: np.ndarray
+) -> list[tuple[np.ndarray, np.ndarray, list[list[int]]]]:
+    """Phrases of one width as rows of a matrix, the rarest term of each, and their items."""
     grouped: dict[int, list] = {}
     for phrase, items in block.items.items():
         grouped.setdefault(len(phrase), []).append((phrase, list(items)))
-    return [
-        (np.array([p for p, _ in rows], dtype=np.int64), [i for _, i in rows])
-        for rows in grouped.values()
-    ]
+    widths = []
+    for rows in grouped.values():
+        matrix = np.array([p for p, _ in rows], dtype=np.int64)
+        rarest = matrix[np.arange(len(matrix)), rarity[matrix].argmin(axis=1)]
+        widths.append((matrix, rarest, [i for _, i in rows]))
+    return widths
 
 
 class _Postings:
     """One shard's lists, by the term numbers of a block."""
 
     def __init__(self, row: pa.RecordBatch, terms: dict[bytes, int]) -> None:
-        flat = {name: row[name].flatten() for name in ("terms", "counts", "documents", "positions")}
         self.name = row["shard"][0].as_py()
-        place = flat["documents"].to_numpy().astype(np.int64) << 32
-        place += flat["positions"].to_numpy()
-        ends = np.cumsum(flat["counts"].to_numpy())
+        ends = np.cumsum(row["counts"].flatten().to_numpy(), dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        place = _unpacked(row["documents"], total) << 32
+        place += _unpacked(row["positions"], total)
         self.lists = [place[:0]] * len(terms)
-        for term, start, end in zip(flat["terms"].to_pylist(), [0, *ends[:-1]], ends):
+        for term, start, end in zip(row["terms"].flatten().to_pylist(), [0, *ends[:-1]], ends):
             if term in terms:
                 self.lists[terms[term]] = place[start:end]
         self.sizes = np.array([len(found) for found in self.lists], dtype=np.int64)
 
-    def search(self, matrix, items, rarity, slack) -> list[tuple[int, int, int, int]]:
+    def search(self, matrix, rarest, items, rarity, slack) -> list[tuple[int, int, int, int]]:
         """(document, item, first, after) of each match of the phrases in the matrix."""
         found = []
-        for number in np.flatnonzero((self.sizes[matrix] > 0).all(axis=1)).tolist():
+        # Most shards lack most phrases' rarest term, so the others are looked up for few.
+        likely = np.flatnonzero(self.sizes[rarest] > 0)
+        likely = likely[(self.sizes[matrix[likely]] > 0).all(axis=1)]
+        for number in likely.tolist():
             phrase = matrix[number]
             order = np.argsort(rarity[phrase], kind="stable")
             exact = slack is None
