@@ -9,6 +9,7 @@ from itertools import pairwise
 
 import numpy as np
 import public_tokenizers as public
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -16,6 +17,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from trailmart.llm import byte_bpe, token_counts
+from trailmart.llm.common import buffered
 from trailmart.llm.queries import BYTE_BPE, WORD_BPE
 
 ANY_TEXT = st.text(
@@ -58,6 +60,19 @@ def test_byte_bpe_equals_the_library(codec, reference, texts):
     assert codec.decode(coded) == [text.encode() for text in texts]
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.binary()])
+def test_buffers_are_bounded_whatever_a_batch_holds(kind):
+    texts = ["x" * 1_000] * 50 + ["y" * 25_000] + [None, ""] * 30 + ["z" * n for n in range(300)]
+    batch = pa.RecordBatch.from_pydict({"n": range(len(texts)), "text": pa.array(texts, kind)})
+    tables = list(buffered([batch, batch.slice(0, 0), batch], "text", 10_000))
+    rows = [n for table in tables for n in table["n"].to_pylist()]
+    assert rows == list(range(len(texts))) * 2
+    assert max(len(table["text"].combine_chunks().to_pylist()) for table in tables) < len(texts)
+    for table in tables:
+        lengths = [len(text or "") for text in table["text"].to_pylist()]
+        assert sum(lengths[:-1]) < 20_000
+
+
 @pytest.mark.parametrize("text", ["a" * 3_000, "=" * 999, " " * 500 + "x", "\n\n \t", "中" * 400])
 def test_byte_bpe_of_long_runs(codec, reference, text):
     assert np.frombuffer(codec.encode([text])[0], "<u4").tolist() == reference.encode_ordinary(text)

@@ -31,10 +31,10 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from trailmart.llm.common import buffered, ready
 
 #: Texts encoded by one query, in bytes, and words a worker remembers.
-BUFFER_BYTES = 6 << 20
-REMEMBERED = 500_000
+BUFFER_BYTES = 1 << 20
+REMEMBERED = 320_000
 #: Bytes of words that one query merges; what exceeds DuckDB's memory spills beside the worker.
-QUERY_BYTES = 4 << 20
+QUERY_BYTES = 1 << 20
 #: Bytes of a word from which pairs of equal rank are contracted together.
 LONG_WORD = 64
 DUCKDB_MEMORY = "200MB"
